@@ -175,19 +175,20 @@ def field_set_diff(per_task: DataFrame, base: DataFrame, preview: int | None = 5
     (model, taskid, side, field, place): ``side`` is ``base`` or ``sample``, whichever has the
     field alone. ``preview`` limits the listed fields per task and side, in field order.
     """
-    base = base.select("model", "field").distinct()
-    tasks = per_task.select("model", "taskid").distinct()
-    expected = tasks.join(base, "model")
-    keys = ["model", "taskid", "field"]
-    only_base = expected.join(per_task.select(*keys), keys, "left_anti").select(
-        *keys, F.lit("base").alias("side")
+    # A set holds the fields of one report, so gathering it is bounded; comparing sets keeps
+    # everything at one row per task.
+    wanted = base.groupBy("model").agg(F.collect_set("field").alias("_base"))
+    found = per_task.groupBy("model", "taskid").agg(F.collect_set("field").alias("_own"))
+    sides = F.array(
+        F.struct(F.lit("base").alias("side"), F.array_except("_base", "_own").alias("fields")),
+        F.struct(F.lit("sample").alias("side"), F.array_except("_own", "_base").alias("fields")),
     )
-    only_sample = per_task.select(*keys).distinct().join(base, ["model", "field"], "left_anti")
-    only_sample = only_sample.select(*keys, F.lit("sample").alias("side"))
-    order = Window.partitionBy("model", "taskid", "side").orderBy("field")
-    diff = only_base.unionByName(only_sample).withColumn("place", F.row_number().over(order))
-    diff = diff.select("model", "taskid", "side", "field", "place")
-    return diff if preview is None else diff.filter(F.col("place") <= preview)
+    both = found.join(wanted, "model").select("model", "taskid", F.inline(sides))
+    listed = F.sort_array("fields")
+    if preview is not None:
+        listed = F.slice(listed, 1, preview)
+    diff = both.select("model", "taskid", "side", F.posexplode(listed).alias("_at", "field"))
+    return diff.select("model", "taskid", "side", "field", (F.col("_at") + 1).alias("place"))
 
 
 def require_consistent(diff: DataFrame) -> None:
