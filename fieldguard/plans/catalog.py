@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldguard.plans import learning
 
-_SECTIONS = ("learning", "auditing", "exploring")
+_SECTIONS = ("finding", "learning", "auditing", "exploring")
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 for _name in _SECTIONS:
