@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldguard.functions.numeric import (
@@ -20,7 +20,8 @@ from fieldguard.functions.numeric import (
     parse_number,
     present,
 )
-from fieldguard.session import small_side
+from fieldguard.operators.order_stats import first_rows
+from fieldguard.session import settle, small_side
 
 FIELD = ("model", "variant", "field")
 EPISODE = ("model", "variant", "episode_id")
@@ -42,15 +43,16 @@ def _ranges(ranges: DataFrame) -> DataFrame:
     )
 
 
-def judge(values: DataFrame, ranges: DataFrame, p: AuditParams | None = None) -> DataFrame:
-    """Every value with its range and the verdict.
+def judge(
+    values: DataFrame, ranges: DataFrame, p: AuditParams | None = None, *, how: str = "inner"
+) -> DataFrame:
+    """Every value with its range and the verdict, one row per value and range variant.
 
     ``ok`` is TRUE (pass), FALSE (fail) or NULL (not counted); ``reason`` says why a value fails.
-    Values of fields without a range are dropped. There is one row
-    per value and range variant.
+    Values of fields without a range are dropped (or, with ``how="left"``, kept unjudged).
     """
     p = p or AuditParams()
-    joined = values.join(ranges, ["model", "field"])
+    joined = values.join(ranges, ["model", "field"], how)
     cell = present(F.col("value"), p.na_tokens)
     number = F.coalesce(parse_number(cell), F.when(F.col("is_bool"), bool_number(cell)))
     return _verdict(joined.withColumn("x", number), p)
@@ -99,34 +101,49 @@ def audit_fields(
     and for extracted fields without a range.
     """
     p = params or AuditParams()
-    known = _ranges(ranges)
-    side = small_side(known)
-    judged = judge(values, side, p)
-    tested = judged.groupBy(*FIELD).agg(
-        F.count_if("ok").alias("pass_count"), F.count_if(~F.col("ok")).alias("fail_count")
+    side = small_side(_ranges(ranges))
+    only_values = p.fields_mode == "values_only"
+    counted = (
+        judge(values, side, p, how="left" if only_values else "inner")
+        .groupBy(*FIELD)
+        .agg(F.count_if("ok").alias("pass_count"), F.count_if(~F.col("ok")).alias("fail_count"))
     )
-    if p.fields_mode == "values_only":
-        scored = tested
-        if p.missing_range_is_fail:
-            scored = scored.unionByName(_all_failed(_without_range(values, side), episodes))
+    if only_values and p.missing_range_is_fail:
+        # A handful of rows per field from here on.
+        counted = settle(counted)
+        scored = counted.filter(F.col("variant").isNotNull()).unionByName(
+            _all_failed(_without_range(counted, side), episodes)
+        )
+    elif only_values:
+        scored = counted.filter(F.col("variant").isNotNull())
     elif p.missing_value_col_is_fail:
-        absent = side.select(*FIELD).join(tested.select(*FIELD), list(FIELD), "left_anti")
-        scored = tested.unionByName(_all_failed(absent, episodes))
+        scored = (
+            side.select(*FIELD)
+            .join(counted, list(FIELD), "left")
+            .join(_episode_counts(episodes), "model", "left")
+            .select(
+                *FIELD,
+                F.coalesce("pass_count", F.lit(0)).alias("pass_count"),
+                F.coalesce("fail_count", "_episodes", F.lit(0)).alias("fail_count"),
+            )
+        )
     else:
-        scored = tested
+        scored = counted
     total = F.col("pass_count") + F.col("fail_count")
     return scored.select(
         *FIELD, "pass_count", "fail_count", _share(F.col("pass_count"), total).alias("pass_rate")
     )
 
 
-def _without_range(values: DataFrame, ranges: DataFrame) -> DataFrame:
+def _without_range(extracted: DataFrame, ranges: DataFrame) -> DataFrame:
     """(model, variant, field) of extracted fields that a variant has no range for."""
-    extracted = values.select("model", "field").distinct()
+    fields = extracted.select("model", "field").distinct()
     variants = ranges.select("model", "variant").distinct()
-    return extracted.join(variants, "model").join(
-        ranges.select(*FIELD), list(FIELD), "left_anti"
-    ).select(*FIELD)
+    return (
+        fields.join(variants, "model")
+        .join(ranges.select(*FIELD), list(FIELD), "left_anti")
+        .select(*FIELD)
+    )
 
 
 def _all_failed(fields: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -144,14 +161,10 @@ def with_stats(ranges: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def _top(df: DataFrame, group: Sequence[str], fails: str, tie: str, n: int) -> DataFrame:
-    """First n rows per group by most failures, lowest rate, then name.
-
-    Spark keeps only each task's best n before the shuffle, so a big group stays cheap.
-    """
-    order = Window.partitionBy(*group).orderBy(
-        F.col(fails).desc(), F.col("pass_rate").asc(), F.col(tie).asc()
-    )
-    return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    """First n rows per group by most failures, lowest rate, then name."""
+    keyed = df.withColumn("_passing_order", -F.col(fails))
+    top = first_rows(keyed, group, ["_passing_order", "pass_rate", tie], n)
+    return top.drop("_passing_order")
 
 
 def top_failing_fields(stats: DataFrame, n: int = 5) -> DataFrame:
@@ -163,24 +176,28 @@ def top_failing_episodes(scorecard: DataFrame, n: int = 10) -> DataFrame:
 
 
 def fail_details(
-    values: DataFrame, ranges: DataFrame, k: int = 1, params: AuditParams | None = None
+    values: DataFrame,
+    ranges: DataFrame,
+    k: int = 1,
+    params: AuditParams | None = None,
+    *,
+    extracted: DataFrame | None = None,
 ) -> DataFrame:
     """First k failing episodes of every field, with the reason; all of them if k is 0.
 
-    A range whose field was never extracted gives one row for all episodes.
+    A range whose field was never extracted gives one row for all episodes. ``extracted`` is the
+    (model, field) list of the values, if known; otherwise it is read off them.
     """
     p = params or AuditParams()
     side = small_side(_ranges(ranges))
     failed = judge(values, side, p).filter(~F.col("ok") & (F.col("reason") != "no_bounds"))
     if k > 0:
-        order = Window.partitionBy(*FIELD).orderBy("episode_id")
-        failed = failed.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k)
+        failed = first_rows(failed, FIELD, ["episode_id"], k)
     columns = [*FIELD, "episode_id", "reason", "x", "lo", "hi"]
     details = failed.select(*columns)
     if not p.missing_value_col_is_fail or p.fields_mode == "values_only":
         return details
-    extracted = values.select("model", "field").distinct()
-    absent = side.join(extracted, ["model", "field"], "left_anti").select(
+    absent = side.join(_fields_of(values, extracted), ["model", "field"], "left_anti").select(
         *FIELD,
         F.lit("<all>").alias("episode_id"),
         F.lit("missing_value_column").alias("reason"),
@@ -191,26 +208,22 @@ def fail_details(
     return details.unionByName(absent)
 
 
-def _absent_counts(
-    values: DataFrame, side: DataFrame, p: AuditParams
-) -> tuple[DataFrame, DataFrame | None]:
-    """Per (model, variant): number of ranges without values, and of value fields without range."""
-    extracted = values.select("model", "field").distinct()
-    absent = (
-        side.join(extracted, ["model", "field"], "left_anti")
-        .groupBy("model", "variant")
-        .agg(F.count(F.lit(1)).alias("_absent"))
-    )
-    if p.fields_mode != "values_only" or not p.missing_range_is_fail:
-        return absent, None
-    extra = (
-        _without_range(values, side).groupBy("model", "variant").agg(F.count(F.lit(1)).alias("_extra"))
-    )
-    return absent, extra
+def _fields_of(values: DataFrame, extracted: DataFrame | None) -> DataFrame:
+    return (values if extracted is None else extracted).select("model", "field").distinct()
+
+
+def _absent_counts(extracted: DataFrame, side: DataFrame) -> DataFrame:
+    """Per (model, variant): number of ranges whose field was never extracted."""
+    absent = side.join(extracted, ["model", "field"], "left_anti")
+    return absent.groupBy("model", "variant").agg(F.count(F.lit(1)).alias("_absent"))
 
 
 def episode_scorecard(
-    values: DataFrame, ranges: DataFrame, params: AuditParams | None = None
+    values: DataFrame,
+    ranges: DataFrame,
+    params: AuditParams | None = None,
+    *,
+    extracted: DataFrame | None = None,
 ) -> DataFrame:
     """total, passed and failed fields of every episode.
 
@@ -228,8 +241,8 @@ def episode_scorecard(
         )
     )
     if p.fields_mode != "values_only":
-        absent, _ = _absent_counts(values, side, p)
-        card = card.join(absent, ["model", "variant"], "left").withColumn(
+        absent = _absent_counts(_fields_of(values, extracted), side)
+        card = card.join(small_side(absent), ["model", "variant"], "left").withColumn(
             "total_fields", F.col("total_fields") + F.coalesce("_absent", F.lit(0))
         )
     return card.select(
@@ -246,6 +259,8 @@ def model_pass_rate(
     ranges: DataFrame,
     episodes: DataFrame,
     params: AuditParams | None = None,
+    *,
+    extracted: DataFrame | None = None,
 ) -> DataFrame:
     """Share of episodes in which every field in scope passes."""
     p = params or AuditParams()
@@ -258,13 +273,15 @@ def model_pass_rate(
         .groupBy("model", "variant")
         .agg(F.count_if("_clean").alias("pass_episodes"))
     )
-    absent, extra = _absent_counts(values, side, p)
     blocked = F.lit(False)
     rows = side.select("model", "variant").distinct().join(clean, ["model", "variant"], "left")
     if p.fields_mode != "values_only" and p.missing_value_col_is_fail:
+        absent = _absent_counts(_fields_of(values, extracted), side)
         rows = rows.join(absent, ["model", "variant"], "left")
         blocked = blocked | F.col("_absent").isNotNull()
-    if extra is not None:
+    if p.fields_mode == "values_only" and p.missing_range_is_fail:
+        extra = _without_range(_fields_of(values, extracted), side)
+        extra = extra.groupBy("model", "variant").agg(F.count(F.lit(1)).alias("_extra"))
         rows = rows.join(extra, ["model", "variant"], "left")
         blocked = blocked | F.col("_extra").isNotNull()
     rows = rows.join(_episode_counts(episodes), "model")

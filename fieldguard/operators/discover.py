@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldguard.operators.flatten import flatten_any
+from fieldguard.operators.order_stats import first_rows
+from fieldguard.session import small_side
 
 
 @dataclass(frozen=True)
@@ -118,7 +120,7 @@ def sample_reports(reports: DataFrame, keys: Sequence[str] = ("model", "taskid")
     """
     order = F.struct(~F.col("path").endswith("_collect.json"), F.col("path"))
     chosen = reports.groupBy(*keys).agg(F.min_by("path", order).alias("path"))
-    return reports.join(chosen.select("path"), "path", "left_semi")
+    return reports.join(small_side(chosen.select("path")), "path", "left_semi")
 
 
 def task_fields(samples: DataFrame, rules: FieldFilter | None = None) -> DataFrame:
@@ -163,10 +165,8 @@ def pick_tasks(tasks: DataFrame, count: int | None, seed: str = "0") -> DataFram
     tasks = tasks.select("model", "taskid").distinct()
     if count is None:
         return tasks
-    # Filtering on a row number keeps only the best of every task before the shuffle.
-    order = Window.partitionBy("model").orderBy(F.md5(F.concat(F.lit(seed), "taskid")), "taskid")
-    ranked = tasks.withColumn("_n", F.row_number().over(order))
-    return ranked.filter(F.col("_n") <= count).select("model", "taskid")
+    keyed = tasks.withColumn("_hash", F.md5(F.concat(F.lit(seed), "taskid")))
+    return first_rows(keyed, ["model"], ["_hash", "taskid"], count).select("model", "taskid")
 
 
 def field_set_diff(per_task: DataFrame, base: DataFrame, preview: int | None = 5) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldguard.functions import labels
 from fieldguard.functions.numeric import parse_number
 from fieldguard.operators.order_stats import CHUNK_ROWS, row_numbers
+from fieldguard.session import small_side
 
 PAGE_SIZE = 9
 # Days before the coming midnight at which each window starts (fixed values).
@@ -155,7 +156,7 @@ def plot_values(rows: DataFrame, fields: DataFrame) -> DataFrame:
 
     Numbers are numbers or NULL; non-numeric cells are 1.0 where missing and 0.0 where present.
     """
-    kinds = fields.select("model", "field_id", "type")
+    kinds = small_side(fields.select("model", "field_id", "type"))
     raw = F.col("value")
     missing = raw.isNull() | F.lower(F.trim(raw)).isin("", "n/a", "null", "nan")
     number = F.when(
@@ -222,7 +223,7 @@ def group_stats(
     Rates are percentages. Numeric fields: missing counts NULL cells over all rows, pass and fail
     count valid numbers only (text is neither). Non-numeric fields: present cells pass.
     """
-    bounds = thresholds.select("model", "field_id", "base_lo", "base_hi")
+    bounds = small_side(thresholds.select("model", "field_id", "base_lo", "base_hi"))
     judged = with_group(plot_values(rows, fields), group_by).join(
         bounds, ["model", "field_id"], "left"
     )
@@ -270,9 +271,7 @@ def legend(rows: DataFrame, group_by: str = "sn") -> DataFrame:
         .groupBy("model", "group_key")
         .agg(F.min("episode_index").alias("first_index"))
     )
-    # One row per label and model.
-    order = Window.partitionBy("model").orderBy("first_index", "group_key")
-    return firsts.withColumn("place", F.row_number().over(order))
+    return row_numbers(firsts, ["model"], ["first_index", "group_key"], "place")
 
 
 def threshold_segments(rows: DataFrame, thresholds: DataFrame) -> DataFrame:

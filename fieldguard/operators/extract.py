@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldguard.functions import selectors as sel
+from fieldguard.session import small_side
 
 # A plan is compiled from the field list, so the list must stay plan-sized.
 MAX_FIELDS = 20_000
@@ -122,13 +123,11 @@ def is_filled(value: Column) -> Column:
 def drop_empty_fields(values: DataFrame) -> DataFrame:
     """Remove fields that are empty in every report of their model.
 
-    The list of surviving fields has one row per (model, field); it is aggregated map-side and
-    joined back, and adaptive execution turns that into a broadcast when it is small.
+    The list of surviving fields has one row per (model, field) and is broadcast after a check of
+    its size.
     """
-    alive = (
-        values.filter(is_filled(F.col("value"))).select("model", "field").groupBy("model", "field")
-    ).agg(F.lit(1).alias("_alive"))
-    return values.join(alive.drop("_alive"), ["model", "field"], "left_semi")
+    alive = values.filter(is_filled(F.col("value"))).select("model", "field").distinct()
+    return values.join(small_side(alive), ["model", "field"], "left_semi")
 
 
 def drop_empty_cells(values: DataFrame) -> DataFrame:

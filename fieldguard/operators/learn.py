@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fieldguard.functions import intervals as iv
 from fieldguard.functions.numeric import NA_TOKENS, bool_number, parse_number, present
 from fieldguard.operators import order_stats
+from fieldguard.session import settle, small_side
 
 GROUP = ("model", "field")
 STAGES = ("sign", "expand", "region_adjust", "field")
@@ -143,13 +144,16 @@ def _initial(counts: DataFrame, p: LearnParams) -> DataFrame:
         lo = F.when(usable, F.col("q0") - F.lit(float(p.iqr_k)) * spread)
         hi = F.when(usable, F.col("q1") + F.lit(float(p.iqr_k)) * spread)
     elif p.method == "mad":
-        mid = order_stats.quantiles(counts, keys, "x", [0.5], chunk_rows=p.chunk_rows)
+        mid = small_side(
+            order_stats.quantiles(counts, keys, "x", [0.5], chunk_rows=p.chunk_rows)
+        )
         apart = counts.join(mid.select(*keys, F.col("q0").alias("_median")), keys)
         apart = (
             apart.withColumn("x", F.abs(F.col("x") - F.col("_median")))
             .groupBy(*keys, "x")
             .agg(F.sum("_count").alias("_count"))
         )
+        apart = settle(apart)
         mad = order_stats.quantiles(apart, keys, "x", [0.5], chunk_rows=p.chunk_rows)
         got = mid.withColumnRenamed("q0", "_median").join(
             mad.select(*keys, F.col("q0").alias("_mad")), keys
@@ -178,7 +182,8 @@ def initial_ranges(values: DataFrame, params: LearnParams | None = None) -> Data
     but booleans counts as 0/1; beside numbers or texts, booleans are texts.
     """
     p = params or LearnParams()
-    parts = _initial(_counted(values, p), p)
+    # Everything below reads the counted values several times; the documents are read once.
+    parts = _initial(settle(_counted(values, p)), p)
     body = F.struct("n", "smallest", "largest", "lo", "hi")
     kind = F.col("kind")
     merged = parts.groupBy(*GROUP).agg(

@@ -3,7 +3,9 @@
 Values are first counted (equal values collapse before the shuffle). Ranks then come from running
 totals over *chunks*: about one row in ``chunk_rows`` is picked by its hash as a chunk edge, chunk
 totals are summed over that short list, and only a chunk at a time is sorted. Edges depend on the
-data alone, so a re-run task cuts the same chunks again.
+data alone, so a re-run task cuts the same chunks again. Tables that fit one chunk skip all that.
+
+Inputs are read more than once: hand in settled tables (``fieldguard.session.settle``).
 """
 
 from __future__ import annotations
@@ -13,8 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Expected rows per chunk; the broadcast edge lists hold one entry per this many rows.
+from fieldguard.session import settle
+
+# Expected rows per chunk, and the expected number of chunk edges that may be broadcast: larger
+# tables get larger chunks.
 CHUNK_ROWS = 1 << 20
+MAX_EDGES = 100_000
+# Up to this many rows per group, Spark itself keeps only each task's best rows for a window.
+LIMIT_PUSHED = 1000
 
 
 def _order_key(order: Sequence[str]) -> Column:
@@ -53,22 +61,28 @@ def with_running_total(
     """
     keys, order = list(keys), list(order)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
-    # least(weight, 1) keeps the pick above the aggregation that made the weights, so that both
-    # uses of ``df`` can share its exchange.
-    pick = F.pmod(F.xxhash64(*keys, *order), F.lit(chunk_rows))
-    picked = (pick < F.least(w, F.lit(1))) if weight else (pick == 0)
+    group = Window.partitionBy(*keys)
+    sorted_order = [F.col(c).asc_nulls_last() for c in order]
+    rows = df.count()
+    if rows <= chunk_rows:
+        running = group.orderBy(*sorted_order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return df.withColumns(
+            {"_before": F.sum(w).over(running) - w, "_total": F.sum(w).over(group)}
+        )
+    chunk_rows = max(chunk_rows, rows // MAX_EDGES)
     edges = (
-        df.filter(picked)
+        df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(chunk_rows)) == 0)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(_order_key(order))).alias("_edges"))
     )
-    # One row in chunk_rows: small enough to broadcast by construction.
+    # One row in chunk_rows was picked, so about MAX_EDGES rows at most are broadcast.
     cut = df.join(F.broadcast(edges), keys, "left").withColumn(
         "_chunk", _edges_below(F.col("_edges"), _order_key(order))
     )
     cut = cut.drop("_edges")
     sums = cut.groupBy(*keys, "_chunk").agg(F.sum(w).alias("_sum"))
-    group = Window.partitionBy(*keys)
     earlier = group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         *keys,
@@ -78,7 +92,7 @@ def with_running_total(
     )
     inside = (
         Window.partitionBy(*keys, "_chunk")
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        .orderBy(*sorted_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
@@ -99,13 +113,35 @@ def row_numbers(
 ) -> DataFrame:
     """1-based position of every row in its group; same result as ``row_number``.
 
-    ``total`` names a further column for the size of the group.
+    ``df`` is settled first. ``total`` names a further column for the size of the group.
     """
-    ranked = with_running_total(df, keys, order, chunk_rows=chunk_rows)
+    ranked = with_running_total(settle(df), keys, order, chunk_rows=chunk_rows)
     ranked = ranked.withColumn(name, (F.col("_before") + 1).cast("bigint")).drop("_before")
     return ranked.withColumnRenamed("_total", total) if total else ranked.drop("_total")
 
 
+def first_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    k: int,
+    name: str = "rank",
+    *,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """The first ``k`` rows of every group with their position ``name``.
+
+    For small ``k`` Spark keeps only each task's best ``k`` rows before the shuffle, so a hot
+    group is no burden; for larger ``k`` the positions are counted in chunks.
+    """
+    if k > LIMIT_PUSHED:
+        ranked = row_numbers(df, keys, order, name, chunk_rows=chunk_rows)
+    else:
+        place = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        ranked = df.withColumn(name, F.row_number().over(place).cast("bigint"))
+    return ranked.filter(F.col(name) <= k)
+
+
 def count_values(values: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
     """(keys, x, _count): how often each value occurs."""
     return values.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_count"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldguard.functions import labels
 from fieldguard.operators.extract import select_cells
+from fieldguard.session import small_side
 
 # Where reports keep the episode attributes, and the tables with their keys.
 EPISODE_SELECTORS = {
@@ -128,7 +129,7 @@ def field_dim(fields: DataFrame, ranges: DataFrame | None = None, order: str = "
 
 def field_value_fact(values: DataFrame, fields: DataFrame) -> DataFrame:
     """(model, episode_id, field_id, value); missing cells stay as NULL rows."""
-    ids = fields.select("model", "field", "field_id")
+    ids = small_side(fields.select("model", "field", "field_id"))
     return values.join(ids, ["model", "field"]).select("model", "episode_id", "field_id", "value")
 
 

@@ -217,8 +217,8 @@ FROM st JOIN rng r ON st.variant = r.variant AND st.field = r.field
 UNION ALL SELECT model, 'base', '.<absent>', 0.0::DOUBLE, 1.0::DOUBLE, false, NULL, NULL, NULL FROM {_DOC_MODELS}""",
     "t8_top_fields": f"""{_DOC_JUDGED},
 st AS ({_BY_FIELD}),
-rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY model, variant
- ORDER BY fail_count DESC, pass_rate, field) AS INTEGER) AS rank FROM st)
+rk AS (SELECT *, row_number() OVER (PARTITION BY model, variant
+ ORDER BY fail_count DESC, pass_rate, field) AS rank FROM st)
 SELECT * FROM rk WHERE rank <= 2""",
     "t9_fail_details": f"""{_DOC_JUDGED},
 rk AS (SELECT *, row_number() OVER (PARTITION BY model, variant, field ORDER BY episode_id) AS n
@@ -244,8 +244,8 @@ card AS (SELECT model, variant, episode_id, CAST(count(*) AS BIGINT) AS total_fi
  CAST(count(*) FILTER (ok) AS BIGINT) AS pass_fields,
  CAST(count(*) FILTER (NOT ok) AS BIGINT) AS fail_fields,
  round(count(*) FILTER (ok) / count(*), 6) AS pass_rate FROM judged GROUP BY 1, 2, 3),
-rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY model, variant
- ORDER BY fail_fields DESC, pass_rate, episode_id) AS INTEGER) AS rank FROM card)
+rk AS (SELECT *, row_number() OVER (PARTITION BY model, variant
+ ORDER BY fail_fields DESC, pass_rate, episode_id) AS rank FROM card)
 SELECT * FROM rk WHERE rank <= 10""",
     "t13_both_variants": f"{_DOC_JUDGED} {_BY_FIELD}",
 }

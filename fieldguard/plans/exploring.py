@@ -619,7 +619,7 @@ _INDEXED = f"""WITH {D_FACT},
 ix AS (SELECT *, row_number() OVER (PARTITION BY model, field_id ORDER BY taskid, area, episode_id) AS i
  FROM fact WHERE field_id = 1 OR x IS NOT NULL)"""
 X15_SQL = f"""{_INDEXED}, g AS (SELECT model, area AS group_key, min(i) AS first_index FROM ix GROUP BY 1, 2)
-SELECT *, CAST(row_number() OVER (PARTITION BY model ORDER BY first_index, group_key) AS INTEGER) AS place FROM g"""
+SELECT *, row_number() OVER (PARTITION BY model ORDER BY first_index, group_key) AS place FROM g"""
 X15_SEG_SQL = f"""{_INDEXED}
 SELECT model, field_id, min(i) AS first_index, max(i) AS last_index,
  CASE field_id WHEN 3 THEN 500.0 WHEN 2 THEN 0.0 END::DOUBLE AS base_lo,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there (lineage ends here)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and go on from there.
+
+    Lineage ends at the table: lost executors cost a re-read, several uses cost one computation,
+    and its size is known to the optimizer. The folder is the cluster's to clean.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/settled-{uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

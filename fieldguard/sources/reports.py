@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldguard.session import small_side
+
 # Fixed value: characters not allowed in a model name.
 ILLEGAL_CHARACTERS = r'[<>:"/\\|?*\x00-\x1F]'
 MISSING_MODEL = "MODEL_MISSING"
@@ -98,7 +100,7 @@ def detect_model(reports: DataFrame, default: str = MISSING_MODEL) -> DataFrame:
 
 def assign_model(reports: DataFrame, default: str = MISSING_MODEL) -> DataFrame:
     """Reports with the model detected for their task."""
-    return reports.drop("model").join(detect_model(reports, default), "taskid")
+    return reports.drop("model").join(small_side(detect_model(reports, default)), "taskid")
 
 
 def task_list(
@@ -127,7 +129,7 @@ def clean_tasks(tasks: DataFrame) -> DataFrame:
 
 
 def restrict_tasks(reports: DataFrame, tasks: DataFrame) -> DataFrame:
-    return reports.join(tasks.select("taskid"), "taskid", "left_semi")
+    return reports.join(small_side(tasks.select("taskid")), "taskid", "left_semi")
 
 
 def sources_of(choice: str, presets: Sequence[str], production: Sequence[str] = ()) -> list[str]:
@@ -175,7 +177,7 @@ def tag_area(reports: DataFrame, task_area: DataFrame, default: str | None = "N/
     ``task_area`` has one row per task; its own duplicates are resolved to the smallest area.
     """
     areas = task_area.filter("area != ''").groupBy("taskid").agg(F.min("area").alias("area"))
-    tagged = reports.drop("area").join(areas, "taskid", "left")
+    tagged = reports.drop("area").join(small_side(areas), "taskid", "left")
     if default is None:
         return tagged
     return tagged.withColumn("area", F.coalesce("area", F.lit(default)))
