@@ -23,10 +23,9 @@ def scan_reports(spark: SparkSession, root: str, suffix: str = ".json") -> DataF
     are not read, which leaves source markers out.
     """
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
-        .text(root)
+        .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("raw"))
     )
     location = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
