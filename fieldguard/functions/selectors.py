@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -150,46 +150,53 @@ def _add(shape: _Shape, steps: Sequence[Step], match: str) -> None:
     _add(shape.element, rest, match)
 
 
-def _equals(found: Column, value: object, match: str, typed: bool) -> Column:
-    """Does a discriminator equal the wanted value (as JSON, or by its text)?"""
-    if typed:
-        kind = F.schema_of_variant(found)
-        if isinstance(value, bool):
-            return (kind == "BOOLEAN") & (F.try_variant_get(found, "$", "boolean") == F.lit(value))
-        if isinstance(value, (int, float)):
-            number = F.try_variant_get(found, "$", "double")
-            is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-            return is_number & (number == F.lit(float(value)))
-        if value is None:
-            return F.is_variant_null(found)
-        return (kind == "STRING") & (F.try_variant_get(found, "$", "string") == F.lit(value))
-    text = value if isinstance(value, str) else json.dumps(value)
-    return found == F.lit(text)
-
-
-def _one_key(text: Column, key: str, typed: bool = False) -> Column:
-    kind = T.VariantType() if typed else T.StringType()
-    return F.from_json(text, T.StructType([T.StructField(key, kind)])).getField(key)
-
-
-def _from_text(text: Column, steps: Sequence[Step], match: str) -> Column:
-    """Walk a JSON text step by step: tolerates arrays mixing objects and other values."""
-    for step in steps:
-        if step.kind == "key":
-            text = _one_key(text, step.key)
-            continue
-        items = F.from_json(text, T.ArrayType(T.StringType()))
-        if step.kind == "item":
-            text = F.get(items, step.index) if step.index >= 0 else F.lit(None).cast("string")
-            continue
-        typed = match == "typed" and _ambiguous(step.value)
-        text = F.get(F.filter(items, _text_test(step, match, typed)), 0)
-    return text
+def _quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(key: str) -> str:
+    return "`" + key.replace("`", "``") + "`"
+
+
+def _equals(found: str, value: object, typed: bool) -> str:
+    """Condition: a discriminator equals the wanted value (as JSON if ``typed``, else as text)."""
+    if not typed:
+        return f"{found} = {_quoted(value if isinstance(value, str) else json.dumps(value))}"
+    kind = f"schema_of_variant({found})"
+    if value is None:
+        return f"is_variant_null({found})"
+    if isinstance(value, bool):
+        same = f"try_variant_get({found}, '$', 'boolean') = {str(value).lower()}"
+        return f"({kind} = 'BOOLEAN' AND {same})"
+    if isinstance(value, (int, float)):
+        number = f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%')"
+        same = f"try_variant_get({found}, '$', 'double') = double('{float(value)!r}')"
+        return f"({number} AND {same})"
+    return f"({kind} = 'STRING' AND try_variant_get({found}, '$', 'string') = {_quoted(value)})"
+
+
+def _one_key(text: str, key: str, kind: str = "string") -> str:
+    """Value of one key of an object held as JSON text."""
+    if not key:
+        return f"from_json({text}, 'map<string,{kind}>')['']"
+    return f"from_json({text}, {_quoted(f'{_name(key)} {kind}')}).{_name(key)}"
+
+
+def _is_typed(step: Step, match: str) -> bool:
+    return match == "typed" and _ambiguous(step.value)
 
 
-def _text_test(step: Step, match: str, typed: bool) -> Callable[[Column], Column]:
-    """Condition on an array element held as JSON text."""
-    return lambda e: _equals(_one_key(e, step.key, typed), step.value, match, typed)
+def _text_step(text: str, step: Step, match: str) -> str:
+    """One step within a JSON text; arrays may mix objects and other values."""
+    if step.kind == "key":
+        return _one_key(text, step.key)
+    items = f"from_json({text}, 'array<string>')"
+    if step.kind == "item":
+        return f"get({items}, {step.index})" if step.index >= 0 else "cast(null as string)"
+    typed = _is_typed(step, match)
+    found = _one_key("e", step.key, "variant" if typed else "string")
+    return f"get(filter({items}, e -> {_equals(found, step.value, typed)}), 0)"
 
 
 def cell_text(value: Column) -> Column:
@@ -201,9 +208,10 @@ def cell_text(value: Column) -> Column:
 
 @dataclass
 class _Spot:
-    """A place reached by at least one selector, as a column of the frame being built."""
+    """A place some selectors pass: as a typed expression (if any) and as JSON text."""
 
-    column: Column
+    typed: str | None
+    text: str
     shape: _Shape
     pending: list[tuple[tuple[Step, ...], int]]
 
@@ -222,7 +230,8 @@ def parse_reports(
     All selectors share one ``from_json`` with a schema holding just the places they visit.
     Array look-ups shared by several selectors are evaluated once per report: each level of the
     selector tree is its own projection. Reports the schema does not fit (an array mixing
-    objects and scalars, say) take the step-by-step path, so results do not depend on the route.
+    objects and scalars, say) are walked as text instead, so results do not depend on the route;
+    for all others the text columns stay NULL.
     """
     wanted: list[tuple[tuple[Step, ...], int]] = []
     root = _Shape()
@@ -236,97 +245,102 @@ def parse_reports(
         wanted.append((steps, at))
         _add(root, steps, match)
 
-    cells: list[Column] = [F.lit(None).cast("string")] * len(selectors)
-    direct = not root.is_text() and bool(root.keys)
-    misfit = F.lit(True)
+    direct = bool(root.keys) and not root.is_text() and "" not in root.keys
     if direct:
-        schema = root.data_type()
         mark = "_misfit"
         while mark in root.keys:
             mark += "_"
-        schema = T.StructType([*schema.fields, T.StructField(mark, T.StringType())])
-        df = df.select(
-            *keep, raw, F.from_json(raw, schema, {"columnNameOfCorruptRecord": mark}).alias("_doc")
-        )
-        misfit = F.col("_doc").getField(mark).isNotNull()
-        df = _walk(df, root, wanted, cells, match, [*keep, raw, "_doc"])
-    stepwise = F.array(*[F.lit(None).cast("string")] * len(selectors))
-    by_position = {at: steps for steps, at in wanted}
-    if wanted:
-        stepwise = F.array(
-            *[
-                _from_text(F.col(raw), by_position[at], match)
-                if at in by_position
-                else F.lit(None).cast("string")
-                for at in range(len(selectors))
-            ]
-        )
-    as_object = F.from_json(raw, T.MapType(T.StringType(), T.StringType())).isNotNull()
-    as_array = F.from_json(raw, T.ArrayType(T.StringType())).isNotNull()
-    texts = F.when(misfit, stepwise).otherwise(F.array(*cells)) if direct else stepwise
-    readable = F.when(misfit, as_object | as_array).otherwise(True)
-    return df.select(*keep, F.when(readable, F.transform(texts, cell_text)).alias("_cells"))
-
-
-def _walk(
-    df: DataFrame,
-    root: _Shape,
-    wanted: list[tuple[tuple[Step, ...], int]],
-    cells: list[Column],
-    match: str,
-    base: list[str],
-) -> DataFrame:
-    level = [_Spot(F.col("_doc"), root, wanted)]
-    kept: list[str] = list(base)
+        schema = root.data_type().add(mark, T.StringType())
+        doc = F.from_json(raw, schema, {"columnNameOfCorruptRecord": mark})
+        misfit = f"_doc.{mark} is not null"
+    else:
+        doc = F.lit(None)
+        misfit = "true"
+    df = df.select(*keep, F.col(raw).alias("_raw"), doc.alias("_doc"))
+    df = df.select(*keep, "_doc", F.expr(f"if({misfit}, _raw, null)").alias("_text"))
+
+    absent = "cast(null as string)"
+    typed_cells = [absent] * len(selectors)
+    text_cells = list(typed_cells)
+    kept = [*keep, "_doc", "_text"]
+    level = [_Spot("_doc" if direct else None, "_text", root, wanted)]
     made = 0
     while level:
-        projection: list[Column] = []
+        lookups: list[str] = []
         following: list[_Spot] = []
-        for spot in level:
-            stack = [spot]
-            while stack:
-                here = stack.pop()
-                groups: dict[Step, list[tuple[tuple[Step, ...], int]]] = {}
-                for steps, at in here.pending:
-                    if not steps:
-                        leaf = here.column
-                        if here.shape.typed and not here.shape.keys and here.shape.element is None:
-                            leaf = leaf.cast("string")
-                        cells[at] = leaf
-                    elif here.shape.is_text():
-                        cells[at] = _from_text(here.column, steps, match)
-                    else:
-                        groups.setdefault(steps[0], []).append((steps[1:], at))
-                for step, rest in groups.items():
-                    if step.kind == "key":
-                        shape = here.shape.keys[step.key]
-                        stack.append(_Spot(here.column.getField(step.key), shape, rest))
-                        continue
-                    shape = here.shape.element
-                    made += 1
-                    name = f"_at{made}"
-                    projection.append(_element(here, step, match).alias(name))
-                    following.append(_Spot(F.col(name), shape, rest))
-        if projection:
-            df = df.select(*kept, *projection)
-            kept += [f"_at{i}" for i in range(made - len(projection) + 1, made + 1)]
+        stack = list(level)
+        while stack:
+            here = stack.pop()
+            groups: dict[Step, list[tuple[tuple[Step, ...], int]]] = {}
+            for steps, at in here.pending:
+                if steps:
+                    groups.setdefault(steps[0], []).append((steps[1:], at))
+                    continue
+                text_cells[at] = here.text
+                if here.typed is not None:
+                    typed_cells[at] = f"cast({here.typed} as string)"
+            for step, rest in groups.items():
+                if here.typed is None or here.shape.is_text():
+                    # Held as text from here on.
+                    whole = f"coalesce({here.typed}, {here.text})" if here.typed else here.text
+                    below = _Spot(None, _text_step(whole, step, match), _Shape(), rest)
+                elif step.kind == "key":
+                    stack.append(
+                        _Spot(
+                            f"{here.typed}.{_name(step.key)}",
+                            _text_step(here.text, step, match),
+                            here.shape.keys[step.key],
+                            rest,
+                        )
+                    )
+                    continue
+                else:
+                    below = _Spot(
+                        _typed_lookup(here, step, match),
+                        _text_step(here.text, step, match),
+                        here.shape.element,
+                        rest,
+                    )
+                if below.typed is None and step.kind == "key":
+                    stack.append(below)
+                    continue
+                made += 1
+                if below.typed is not None:
+                    lookups.append(f"{below.typed} as _at{made}")
+                    below.typed = f"_at{made}"
+                lookups.append(f"{below.text} as _tx{made}")
+                below.text = f"_tx{made}"
+                following.append(below)
+        if lookups:
+            df = df.selectExpr(*[_name(c) for c in kept], *lookups)
+            kept += [x.rsplit(" as ", 1)[1] for x in lookups]
         level = following
-    return df
+
+    as_object = F.from_json("_text", T.MapType(T.StringType(), T.StringType())).isNotNull()
+    as_array = F.from_json("_text", T.ArrayType(T.StringType())).isNotNull()
+    texts = F.expr(f"array({', '.join(text_cells)})")
+    if direct:
+        # What the document holds as text was walked as text for every report.
+        plain = [b if a == absent else a for a, b in zip(typed_cells, text_cells)]
+        texts = F.when(F.col("_text").isNotNull(), texts).otherwise(
+            F.expr(f"array({', '.join(plain)})")
+        )
+    broken = F.col("_text").isNotNull() & ~(as_object | as_array)
+    if not direct:
+        broken = F.coalesce(~(as_object | as_array), F.lit(True))
+    return df.select(*keep, F.when(~broken, F.transform(texts, cell_text)).alias("_cells"))
 
 
-def _element(here: _Spot, step: Step, match: str) -> Column:
+def _typed_lookup(here: _Spot, step: Step, match: str) -> str:
     element = here.shape.element
     if step.kind == "item":
         if step.index < 0:
-            return F.lit(None).cast(element.data_type())
-        return F.get(here.column, step.index)
+            return f"get(filter({here.typed}, e -> false), 0)"
+        return f"get({here.typed}, {step.index})"
     if element.is_text():
-        typed = match == "typed" and _ambiguous(step.value)
-        return F.get(F.filter(here.column, _text_test(step, match, typed)), 0)
-    typed = element.keys[step.key].typed
-    return F.get(
-        F.filter(
-            here.column, lambda e: _equals(e.getField(step.key), step.value, match, typed)
-        ),
-        0,
-    )
+        typed = _is_typed(step, match)
+        found = _one_key("e", step.key, "variant" if typed else "string")
+    else:
+        typed = element.keys[step.key].typed
+        found = f"e.{_name(step.key)}"
+    return f"get(filter({here.typed}, e -> {_equals(found, step.value, typed)}), 0)"
