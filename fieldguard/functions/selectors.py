@@ -109,11 +109,11 @@ class _Shape:
     element: _Shape | None = None
 
     def is_text(self) -> bool:
-        # Used as a leaf and as a container, or as two containers, or with keys that differ only
-        # in case: such a place is read as text and parsed again per use.
+        # Used as a leaf and as a container, or as two containers, or with keys no struct can
+        # hold (empty, or equal but for case): such a place is read as text and parsed per use.
         uses = int(self.leaf) + int(bool(self.keys)) + int(self.element is not None)
         folded = {k.lower() for k in self.keys}
-        return uses != 1 or len(folded) != len(self.keys)
+        return uses != 1 or len(folded) != len(self.keys) or "" in self.keys
 
     def data_type(self) -> T.DataType:
         if self.typed and not self.keys and self.element is None:
@@ -245,7 +245,7 @@ def parse_reports(
         wanted.append((steps, at))
         _add(root, steps, match)
 
-    direct = bool(root.keys) and not root.is_text() and "" not in root.keys
+    direct = bool(root.keys) and not root.is_text()
     if direct:
         mark = "_misfit"
         while mark in root.keys:
@@ -271,15 +271,17 @@ def parse_reports(
         stack = list(level)
         while stack:
             here = stack.pop()
-            groups: dict[Step, list[tuple[tuple[Step, ...], int]]] = {}
+            # By type as well: 1 equals True in Python, but not in JSON.
+            groups: dict[tuple[Step, type], list[tuple[tuple[Step, ...], int]]] = {}
             for steps, at in here.pending:
                 if steps:
-                    groups.setdefault(steps[0], []).append((steps[1:], at))
+                    head = (steps[0], type(steps[0].value))
+                    groups.setdefault(head, []).append((steps[1:], at))
                     continue
                 text_cells[at] = here.text
                 if here.typed is not None:
                     typed_cells[at] = f"cast({here.typed} as string)"
-            for step, rest in groups.items():
+            for (step, _), rest in groups.items():
                 if here.typed is None or here.shape.is_text():
                     # Held as text from here on.
                     whole = f"coalesce({here.typed}, {here.text})" if here.typed else here.text

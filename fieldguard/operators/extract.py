@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldguard.functions import selectors as sel
-from fieldguard.session import small_side
+from fieldguard.session import balanced, small_side
 
 # A plan is compiled from the field list, so the list must stay plan-sized.
 MAX_FIELDS = 20_000
@@ -141,9 +141,10 @@ def safe_name(field: Column) -> Column:
 
 
 def write_per_field(values: DataFrame, path: str) -> None:
-    """One folder per model and field. Rows of a field stay spread over many tasks."""
+    """One folder per model and field."""
+    named = values.withColumn("field_file", safe_name(F.col("field")))
     (
-        values.withColumn("field_file", safe_name(F.col("field")))
+        balanced(named, "model", "field_file")
         .write.partitionBy("model", "field_file")
         .mode("errorifexists")
         .parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldguard.functions import labels
 from fieldguard.operators.extract import select_cells
-from fieldguard.session import small_side
+from fieldguard.session import balanced, small_side
 
 # Where reports keep the episode attributes, and the tables with their keys.
 EPISODE_SELECTORS = {
@@ -201,12 +201,14 @@ def latest_documents(existing: DataFrame | None, arriving: DataFrame) -> DataFra
 def write_star(tables: Mapping[str, DataFrame], path: str, *, mode: str = "overwrite") -> None:
     """Full refresh of the named tables, partitioned by model.
 
-    Only the partitions present in the data are replaced. Values are sorted by field inside each
-    file, so that reading a few fields skips most row groups.
+    Only the partitions present in the data are replaced. Values of a field lie together, so that
+    reading a few fields skips most files and row groups.
     """
     for name, df in tables.items():
         if name == "field_value":
-            df = df.sortWithinPartitions("model", "field_id")
+            df = balanced(df, "model", "field_id").sortWithinPartitions("model", "field_id")
+        else:
+            df = balanced(df, "model")
         (
             df.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")

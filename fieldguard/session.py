@@ -51,3 +51,11 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     if settled.limit(max_rows + 1).count() > max_rows:
         return settled
     return F.broadcast(settled)
+
+
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread rows for a partitioned write: few folders per task, hot folders over many tasks.
+
+    Adaptive execution splits and merges the shuffled blocks by their measured size.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.session import small_side
+from fieldguard.session import balanced, small_side
 
 # Fixed value: characters not allowed in a model name.
 ILLEGAL_CHARACTERS = r'[<>:"/\\|?*\x00-\x1F]'
@@ -167,7 +167,7 @@ def land_reports(reports: DataFrame, path: str) -> None:
     clash = landing_conflicts(reports).limit(1).collect()
     if clash:
         raise RuntimeError(f"landing conflict: {clash[0].asDict()}")
-    reports.write.mode("errorifexists").partitionBy("model").parquet(path)
+    balanced(reports, "model").write.mode("errorifexists").partitionBy("model").parquet(path)
 
 
 def tag_area(reports: DataFrame, task_area: DataFrame, default: str | None = "N/A") -> DataFrame:

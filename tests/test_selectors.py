@@ -61,6 +61,7 @@ DOCS = {
     "top": "[1,2]",
     "typed": '{"a":"{\\"z\\":1}","b":[true,null,1.5]}',
     "case": '{"Key":"upper","key":"lower"}',
+    "blank": '{"":{"":"inner"},"one":[{"t":1,"v":"n"},{"t":true,"v":"b"}]}',
     "bool": '{"report":[{"code":true,"v":"yes"},{"code":"true","v":"text"}]}',
 }
 
@@ -102,6 +103,17 @@ def test_values(spark):
     assert got["case", ".<Key>"] == "upper" and got["case", ".<key>"] == "lower"
 
 
+def test_odd_keys_and_equal_looking_values(spark):
+    got = read(spark, [".<>.<>", ".<one>.[t=true].<v>", ".<one>.[t=1].<v>", ".<one>.[t=null].<v>"], only=["blank"])
+    assert got["blank", ".<>.<>"] == "inner"
+    assert got["blank", ".<one>.[t=true].<v>"] == "b" and got["blank", ".<one>.[t=1].<v>"] == "n"
+    assert got["blank", ".<one>.[t=null].<v>"] is None
+    raw = """{"a'b\\\\`c":[{"k'\\\\":"v'\\\\","x`y":"found"}]}"""
+    df = spark.createDataFrame([("m", "1", raw)], "model string, episode_id string, raw string")
+    field = r".<a'b\\`c>.[<k'\\>=<v'\\>].<x`y>"
+    assert extract.extract_values(df, [field]).first()["value"] == "found"
+
+
 def test_filters_take_the_first_match_by_type(spark):
     quoted, bare = ".<report>.[<code>=<3>].<v>", ".<report>.[code=3].<v>"
     got = read(spark, [quoted, bare, ".<report>.[code=true].<v>", ".<report>.(4).<v>"])

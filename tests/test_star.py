@@ -199,3 +199,17 @@ def test_publish(spark, tmp_path):
         ("configFull", '{"id":7,"configFull":"field,min,max\\\\na,0.0,1.0\\\\n"}'),
         ("csvFullPath", '{"id":7,"csvFullPath":"range/n/full/v1"}'),
     ]
+
+
+def test_write_per_field(spark, tmp_path):
+    from fieldguard.operators.extract import write_per_field
+
+    values = spark.createDataFrame(
+        [("m", str(i), f, "v") for i in range(50) for f in (".<a>", ".<b>.<c>")],
+        "model string, episode_id string, field string, value string",
+    )
+    write_per_field(values, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r["field_file"], r["count"]) for r in back.groupBy("field_file").count().collect()} == {
+        ("__a_", 50), ("__b___c_", 50),
+    }
