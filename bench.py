@@ -20,6 +20,7 @@ HEADLINE = (
     "r4_range_cover",
     "r15_learn",
     "t1_field_audit",
+    "t1_learn_and_audit",
     "t10_model_pass_rate",
     "t11_scorecard",
     "t13_both_variants",

@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ANGLE = r"<((?:\\.|[^>\\])*)>"
-_PART = re.compile(
-    r"\.(?:"
-    + _ANGLE
+_STEP = (
+    _ANGLE
     + r"|\(\s*(-?\d+)\s*\)"
     + r"|\[\s*(?:" + _ANGLE + r"|([^=<\]]+?))\s*=\s*(?:" + _ANGLE + r"|([^<\]][^\]]*?)?)\s*\]"
-    + r"|([^.<(\[][^.]*))"
 )
+_PART = re.compile(r"\.(?:" + _STEP + r"|([^.<(\[][^.]*))")
+# Selectors of episode attributes may leave dots out: report[<k>=<v>].<x>
+_LOOSE_PART = re.compile(r"\.?(?:" + _STEP + r"|([^.<(\[][^.\[]*))")
 # The same grammar as one Java pattern, for checking selectors held in a column.
 SELECTOR_PATTERN = (
     r"^(?:\.(?:<(?:\\.|[^>\\])*>|\(\s*-?\d+\s*\)"
@@ -54,13 +55,14 @@ def _unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
-def parse(text: str) -> tuple[Step, ...]:
-    """Steps of a selector; raises SelectorError for anything else."""
+def parse(text: str, loose: bool = False) -> tuple[Step, ...]:
+    """Steps of a selector; raises SelectorError for anything else. ``loose`` dots are optional."""
     text = text.strip()
+    part = _LOOSE_PART if loose else _PART
     steps: list[Step] = []
     at = 0
     while at < len(text):
-        m = _PART.match(text, at)
+        m = part.match(text, at)
         if not m:
             raise SelectorError(f"not a selector (at {at}): {text!r}")
         key, index, match_key, bare_key, match_value, bare_value, bare = m.groups()
@@ -237,7 +239,7 @@ def parse_reports(
     root = _Shape()
     for at, text in enumerate(selectors):
         try:
-            steps = parse(text)
+            steps = parse(text, loose=match == "text")
         except SelectorError:
             if not lenient:
                 raise

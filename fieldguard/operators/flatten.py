@@ -53,34 +53,44 @@ def leaves(document: object) -> Iterator[tuple[str, str | None]]:
         todo.extend(reversed(children))
 
 
+# Leaves per batch handed back; keeps memory flat however wide the documents are.
+BATCH_LEAVES = 50_000
+
+
 def _flatten_batches(
     batches: Iterator[pa.RecordBatch], keys: list[str], schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        raws = batch.column("raw")
         origin: list[int] = []
-        places: list[int] = []
-        names: list[str] = []
-        texts: list[str | None] = []
-        for row, raw in enumerate(batch.column("raw").to_pylist()):
+        cells: list[tuple[int, str, str | None]] = []
+        for row in range(batch.num_rows):
             try:
-                document = json.loads(raw)
+                document = json.loads(raws[row].as_py())
             except (TypeError, ValueError, RecursionError):
                 continue
-            for place, (name, text) in enumerate(leaves(document)):
-                origin.append(row)
-                places.append(place)
-                names.append(name)
-                texts.append(text)
-        picked = pa.array(origin, pa.int64())
-        columns = [batch.column(k).take(picked) for k in keys]
-        columns += [
-            pa.array(places, pa.int32()),
-            pa.array(names, pa.string()),
-            pa.array(texts, pa.string()),
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
-        )
+            found = [(place, *leaf) for place, leaf in enumerate(leaves(document))]
+            cells += found
+            origin += [row] * len(found)
+            if len(cells) >= BATCH_LEAVES:
+                yield _as_batch(batch, keys, schema, origin, cells)
+                origin, cells = [], []
+        yield _as_batch(batch, keys, schema, origin, cells)
+
+
+def _as_batch(
+    batch: pa.RecordBatch,
+    keys: list[str],
+    schema: pa.Schema,
+    origin: list[int],
+    cells: list[tuple[int, str, str | None]],
+) -> pa.RecordBatch:
+    picked = pa.array(origin, pa.int64())
+    columns = [batch.column(k).take(picked) for k in keys]
+    columns += [pa.array([cell[i] for cell in cells], schema.field(len(keys) + i).type) for i in range(3)]
+    return pa.RecordBatch.from_arrays(
+        [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
+    )
 
 
 def flatten_any(

@@ -145,7 +145,7 @@ def to_long(wide: DataFrame, keys: Sequence[str] = ("model", "episode_id")) -> D
 def to_wide(values: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Export form: one row per episode, one column per field."""
     return (
-        values.groupBy("model", "episode_id").pivot("field", list(fields)).agg(F.first("value"))
+        values.groupBy("model", "episode_id").pivot("field", list(fields)).agg(F.max("value"))
     )
 
 
@@ -227,17 +227,28 @@ def _count(df: DataFrame, table: str, check: str) -> DataFrame:
     )
 
 
+def _key_checks(df: DataFrame, table: str) -> DataFrame:
+    """Repeated keys, and rows with a NULL in the key, from one pass over the table."""
+    keys = TABLE_KEYS[table]
+    absent = F.lit(False)
+    for key in keys:
+        absent = absent | F.col(key).isNull()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.count_if(F.col("_n") > 1).alias("duplicate_key"),
+        F.coalesce(F.sum(F.when(absent, F.col("_n"))), F.lit(0)).alias("null_key"),
+    )
+    checks = F.array(
+        *[
+            F.struct(F.lit(c).alias("check"), F.col(c).alias("violations"))
+            for c in ("duplicate_key", "null_key")
+        ]
+    )
+    return counted.select(F.lit(table).alias("table"), F.inline(checks))
+
+
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violations per table and check: key duplicates, key NULLs, field name duplicates, orphans."""
-    parts: list[DataFrame] = []
-    for name, df in tables.items():
-        keys = TABLE_KEYS[name]
-        repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        parts.append(_count(repeated, name, "duplicate_key"))
-        absent = F.lit(False)
-        for key in keys:
-            absent = absent | F.col(key).isNull()
-        parts.append(_count(df.filter(absent), name, "null_key"))
+    parts = [_key_checks(df, name) for name, df in tables.items()]
     if "field" in tables:
         names = tables["field"].groupBy("model", "field").agg(F.count(F.lit(1)).alias("_n"))
         parts.append(_count(names.filter("_n > 1"), "field", "duplicate_field"))

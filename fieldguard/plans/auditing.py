@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from fieldguard.operators import audit, learn
 from fieldguard.operators.audit import AuditParams
-from fieldguard.operators.learn import LearnParams
+from fieldguard.operators.learn import LearnParams, TextRule
 from fieldguard.plans import oracle as sql
-from fieldguard.plans.learning import document_values, event_values
+from fieldguard.plans.learning import document_values, event_values, order_values
 from fieldguard.sources import bindings as b
 
 # Without widening, the learned ranges leave real failures in skewed values.
@@ -82,6 +82,33 @@ def t1_field_audit(spark, d):
     return _rate(audit.audit_fields(values, event_ranges(values), event_episodes(spark, d)))
 
 
+def t1_learn_and_audit(spark, d):
+    """The whole way: order reports, values, learned ranges, audit of the same reports."""
+    values = order_values(spark, d)
+    p = LearnParams(expand_pct=0.1, non_numeric_rules=[TextRule(["metadata_raw"])])
+    episodes = b.order_episodes(spark, d).select("model", "episode_id")
+    return _rate(audit.audit_fields(values, learn.learn_ranges(values, p), episodes))
+
+
+_LEARNED = ",\n".join(
+    [
+        sql.O_CELLS,
+        sql.cover(0.95),
+        sql.sign("s1", "cover"),
+        sql.expand("s2", "s1", 0.1),
+        sql.keep_sign("s3", "s2"),
+        sql.clamp("s4", "s3"),
+    ]
+)
+T1_FLOW_SQL = f"""WITH {_LEARNED},
+judged AS (SELECT c.model, 'base' AS variant, c.field,
+ coalesce(c.x BETWEEN round(r.lo, 6) AND round(r.hi, 6), false) AS ok
+ FROM cells c JOIN s4 r ON c.model = r.model AND c.field = r.field)
+{_BY_FIELD}
+UNION ALL SELECT model, 'base', '{sql.SN}', CAST(count(*) AS BIGINT), 0::BIGINT, 1.0::DOUBLE FROM ep GROUP BY 1
+UNION ALL SELECT model, 'base', '{sql.STATUS}', CAST(count(*) AS BIGINT), 0::BIGINT, 1.0::DOUBLE FROM ep GROUP BY 1"""
+
+
 def t2_presence(spark, d):
     values = document_values(spark, d)
     ranges = fixed_ranges(
@@ -178,6 +205,7 @@ _ABSENT = f"""SELECT model, 'base' AS variant, '.<absent>' AS field, 0::BIGINT A
 
 QUERIES = {
     "t1_field_audit": t1_field_audit,
+    "t1_learn_and_audit": t1_learn_and_audit,
     "t2_presence": t2_presence,
     "t3_nan_policy": t3_nan_policy,
     "t4_absent_field": t4_absent_field,
@@ -194,6 +222,7 @@ QUERIES = {
 
 SQL = {
     "t1_field_audit": f"{_EVENT_JUDGED} {_BY_FIELD}",
+    "t1_learn_and_audit": T1_FLOW_SQL,
     "t2_presence": f"""WITH {sql.D_CELLS},
 judged AS (SELECT model, 'base' AS variant, field, x IS NOT NULL AS ok FROM cells) {_BY_FIELD}""",
     "t3_nan_policy": f"""{_DOC_JUDGED}

@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldguard.plans import learning
+from fieldguard.plans import auditing
 
 _SECTIONS = ("finding", "learning", "auditing", "exploring")
 QUERIES: dict = {}
@@ -18,4 +18,5 @@ for _name in _SECTIONS:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return learning.r15_learn(spark, sf_dir)
+    """Learn ranges from all order reports and audit the reports against them."""
+    return auditing.t1_learn_and_audit(spark, sf_dir)

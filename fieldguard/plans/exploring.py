@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldguard.functions import labels
 from fieldguard.operators import explore, learn, warehouse
 from fieldguard.operators.learn import LearnParams
 from fieldguard.plans import oracle as sql
@@ -17,8 +19,8 @@ from fieldguard.plans.learning import (
     order_values,
     part_fields,
 )
+from fieldguard.session import shared_dir
 from fieldguard.sources import bindings as b
-from fieldguard.functions import labels
 
 AS_OF = date(2024, 1, 30)
 # Areas known to the presets; the other regions have no bucket.
@@ -253,10 +255,6 @@ SELECT model, row_number() OVER (PARTITION BY model ORDER BY field) AS field_id,
 
 def w10_write_star(spark, d):
     """Write the event star, refresh it, and count what is read back."""
-    from uuid import uuid4
-
-    from fieldguard.session import shared_dir
-
     episodes, fields, fact = event_star(spark, d)
     path = f"{shared_dir(spark)}/star-{uuid4().hex}"
     tables = {"episode": episodes, "field": fields, "field_value": fact}
@@ -279,12 +277,14 @@ UNION ALL SELECT model, count(DISTINCT field_id), 'field' FROM fact GROUP BY 1""
 
 
 def w11_documents(spark, d):
-    """Every third order arrives again with another document; the arriving one wins."""
-    stored = b.order_reports(spark, d).select(
-        "model", "episode_id", "filename", F.col("raw").alias("json")
-    )
-    arriving = stored.filter(F.col("episode_id").cast("bigint") % 3 == 0).withColumn(
-        "json", F.concat(F.lit('{"id":"'), "episode_id", F.lit('"}'))
+    """Orders from 1998 on arrive again with another document; the arriving one wins."""
+    reports = b.order_reports(spark, d)
+    stored = reports.select("model", "episode_id", "filename", F.col("raw").alias("json"))
+    arriving = reports.filter("collected_at >= '1998-01-01'").select(
+        "model",
+        "episode_id",
+        "filename",
+        F.concat(F.lit('{"id":"'), "episode_id", F.lit('"}')).alias("json"),
     )
     merged = warehouse.latest_documents(stored, arriving)
     return merged.select(
@@ -293,36 +293,28 @@ def w11_documents(spark, d):
 
 
 W11_SQL = f"""WITH {sql.EP} SELECT model, episode_id, episode_id || '_collect.json' AS filename,
- CASE WHEN CAST(episode_id AS BIGINT) % 3 = 0 THEN episode_id END AS id FROM ep"""
+ CASE WHEN collected_at >= '1998-01-01' THEN episode_id END AS id FROM ep"""
 
 
 def w12_integrity(spark, d):
-    """Line items as values of orders: repeated keys and orders without any customer row show up."""
+    """Line items as values (orders as episodes, parts as fields): repeated keys, repeated names,
+    and values of unknown episodes and fields show up."""
+    one = F.lit("all").alias("model")
     lines = b.table(spark, d, "lineitem").select(
-        F.lit("all").alias("model"),
+        one,
         F.col("l_orderkey").cast("string").alias("episode_id"),
-        F.col("l_linenumber").cast("bigint").alias("field_id"),
-    )
-    episodes = (
-        b.table(spark, d, "orders")
-        .filter(F.col("o_orderstatus") != "P")
-        .select(F.lit("all").alias("model"), F.col("o_orderkey").cast("string").alias("episode_id"))
-    )
-    fields = (
-        b.table(spark, d, "nation")
-        .filter("n_nationkey between 1 and 5")
-        .select(
-            F.lit("all").alias("model"),
-            F.col("n_nationkey").cast("bigint").alias("field_id"),
-            F.col("n_regionkey").cast("string").alias("field"),
-        )
+        F.col("l_partkey").alias("field_id"),
     )
+    orders = b.table(spark, d, "orders").filter("o_orderstatus <> 'P'")
+    episodes = orders.select(one, F.col("o_orderkey").cast("string").alias("episode_id"))
+    parts = b.table(spark, d, "part").filter("p_type <> 'ECONOMY'")
+    fields = parts.select(one, F.col("p_partkey").alias("field_id"), F.col("p_name").alias("field"))
     return warehouse.integrity_report({"field_value": lines, "episode": episodes, "field": fields})
 
 
-W12_SQL = """WITH fv AS (SELECT l_orderkey AS e, l_linenumber AS f FROM lineitem),
+W12_SQL = """WITH fv AS (SELECT l_orderkey AS e, l_partkey AS f FROM lineitem),
 e AS (SELECT o_orderkey AS e FROM orders WHERE o_orderstatus <> 'P'),
-f AS (SELECT n_nationkey AS f, n_regionkey AS nm FROM nation WHERE n_nationkey BETWEEN 1 AND 5)
+f AS (SELECT p_partkey AS f, p_name AS nm FROM part WHERE p_type <> 'ECONOMY')
 SELECT 'field_value' AS "table", 'duplicate_key' AS "check", count(*) AS violations FROM (SELECT e, f FROM fv GROUP BY 1, 2 HAVING count(*) > 1)
 UNION ALL SELECT 'field_value', 'null_key', count(*) FROM fv WHERE e IS NULL OR f IS NULL
 UNION ALL SELECT 'episode', 'duplicate_key', count(*) FROM (SELECT e FROM e GROUP BY 1 HAVING count(*) > 1)

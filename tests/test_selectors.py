@@ -24,6 +24,13 @@ def test_parse_forms():
     )
 
 
+def test_parse_loosely():
+    want = sel.parse(".report.[<k>=<v>].<x>.<y>")
+    assert sel.parse("report[<k>=<v>]<x>.y", loose=True) == want
+    with pytest.raises(sel.SelectorError):
+        sel.parse("report[<k>=<v>]<x>.y")
+
+
 def test_parse_unescapes_and_keeps_odd_characters():
     assert sel.parse(r".<a\>b\\c>.[<k]>=<x]y>].<b'/é.d>") == (
         Step("key", r"a>b\c"),
