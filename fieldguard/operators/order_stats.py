@@ -219,29 +219,29 @@ def shortest_cover(
         needed.alias("_k"),
         ((F.col("_before") <= middle) & (middle < F.col("_before") + F.col("_count"))).alias("_mid"),
     )
+    def block_of(place: Column) -> Column:
+        return F.floor(place / block_len).cast("bigint")
+
     last = F.col("_before") + F.col("_count") - 1
-    marks = F.transform(
-        F.sequence(
-            F.floor(F.col("_before") / block_len).cast("bigint"),
-            F.floor(last / block_len).cast("bigint"),
-        ),
-        lambda b: F.struct(
-            b.alias("_block"),
-            F.greatest(F.col("_before"), b * block_len).alias("_place"),
+
+    def mark(block: Column) -> Column:
+        return F.struct(
+            block.alias("_block"),
+            F.greatest(F.col("_before"), block * block_len).alias("_place"),
             F.lit(0).alias("_side"),
-        ),
-    )
+        )
+
+    # A value reaching into further blocks is marked at the start of each of them.
+    marks = F.when(
+        block_of(F.col("_before")) == block_of(last), F.array(mark(block_of(F.col("_before"))))
+    ).otherwise(F.transform(F.sequence(block_of(F.col("_before")), block_of(last)), mark))
     target = F.col("_before") + F.col("_k") - 1
-    probes = F.when(
-        target < F.col("_total"),
-        F.array(
-            F.struct(
-                F.floor(target / block_len).cast("bigint").alias("_block"),
-                target.alias("_place"),
-                F.lit(1).alias("_side"),
-            )
-        ),
-    ).otherwise(F.array().cast("array<struct<_block:bigint,_place:bigint,_side:int>>"))
+    probe = F.struct(
+        block_of(target).alias("_block"), target.alias("_place"), F.lit(1).alias("_side")
+    )
+    probes = F.when(target < F.col("_total"), F.array(probe)).otherwise(
+        F.array().cast("array<struct<_block:bigint,_place:bigint,_side:int>>")
+    )
     line = rows.select(
         *keys, "_x", "_before", "_total", "_k", "_mid", F.inline(F.concat(marks, probes))
     )
