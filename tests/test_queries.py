@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldguard.plans import catalog
 from tools.check import TABLES, clean, key
 
 DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
