@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import substring
+from fieldguard.llm import decontaminate, substring
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -40,3 +40,47 @@ kept AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+
+@_query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+# Words of ASCII letters, digits and all that is not ASCII, in lower case.
+ALNUM = (
+    r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+)
+SQL["op7_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {ALNUM} AS w FROM documents),
+b AS (SELECT item_id, {ALNUM} AS w FROM benchmark),
+item AS (
+ SELECT DISTINCT item_id, least(10, len(w)) AS n,
+        array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS t
+ FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM item),
+win AS (
+ SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS t
+ FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM d, size WHERE len(w) >= n)),
+hit AS (SELECT doc_id, s, win.n, item_id FROM win JOIN item ON win.t = item.t AND win.n = item.n),
+word AS (
+ SELECT doc_id, count(DISTINCT pos) AS n_hit
+ FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hit) GROUP BY 1),
+found AS (
+ SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+ FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""
