@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import decontaminate, substring
+from fieldguard.llm import decontaminate, jaccard, substring
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -58,9 +58,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Words of ASCII letters, digits and all that is not ASCII, in lower case.
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM = (
-    r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+    f"coalesce(regexp_extract_all({LOWERED}, "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 )
 SQL["op7_decontaminate"] = f"""
 WITH d AS (SELECT doc_id, {ALNUM} AS w FROM documents),
@@ -84,3 +85,30 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""
+
+
+@_query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+SQL["op5_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+ SELECT doc_id, {WORDS.replace("text", LOWERED)} AS w FROM documents),
+s AS (
+ SELECT DISTINCT doc_id, array_to_string(w[s:s + 2], ' ') AS t
+ FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+link AS (
+ SELECT a, b FROM (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.t = q.t
+  GROUP BY 1, 2)
+ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+ WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       coalesce(m, d.doc_id) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY 1) r ON d.doc_id = r.a"""
