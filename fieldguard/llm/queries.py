@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import decontaminate, jaccard, substring
+from fieldguard.llm import decontaminate, jaccard, sharding, substring, topk
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -112,3 +112,68 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
        coalesce(m, d.doc_id) AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id
 LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY 1) r ON d.doc_id = r.a"""
+
+
+@_query
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+SQL["op6_top_k"] = """
+WITH v AS (
+ SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+ FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+ SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM s)
+WHERE nth <= 5"""
+
+
+@_query
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+    )
+
+
+SQL["op8_virtual_slots"] = """
+WITH RECURSIVE codes AS (
+ SELECT list(c ORDER BY i) AS codes FROM (
+  SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c
+  FROM range(256) t(i))),
+d AS (
+ SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 4096 AS v,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                       lambda x: CAST('0x' || x AS BIGINT)) AS b FROM documents),
+crc AS (
+ SELECT doc_id, size, v, xor(4294967295, list_reduce(b,
+         lambda a, x: xor(a >> 8, codes[CAST((xor(a, x) & 255) + 1 AS INTEGER)]), 4294967295)) AS text_crc32
+ FROM d, codes),
+sums AS (
+ SELECT i AS v, coalesce(sum(size), 0) AS bytes FROM range(4096) t(i) LEFT JOIN d ON d.v = i GROUP BY 1),
+ranked AS (SELECT v, bytes, row_number() OVER (ORDER BY bytes DESC, v) AS nth FROM sums),
+deal(nth, shard, load) AS (
+ SELECT CAST(0 AS BIGINT), 0, list_transform(range(16), lambda x: CAST(0 AS HUGEINT))
+ UNION ALL
+ SELECT r.nth, list_position(load, list_min(load)) - 1,
+        list_transform(load, lambda x, i: CASE WHEN i = list_position(load, list_min(load)) THEN x + bytes ELSE x END)
+ FROM deal JOIN ranked r ON r.nth = deal.nth + 1)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law,
+       CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY crc.v, doc_id, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard, CAST(crc.v AS INTEGER) AS virtual_slot
+FROM crc JOIN ranked ON crc.v = ranked.v JOIN deal ON deal.nth = ranked.nth"""
