@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import decontaminate, jaccard, sharding, substring, topk
+from fieldguard.llm import bpe, decontaminate, jaccard, sharding, substring, topk
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -177,3 +177,21 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law,
        row_number() OVER (PARTITION BY shard ORDER BY crc.v, doc_id, text_crc32, size) - 1 AS slot,
        CAST(NULL AS INTEGER) AS grown_shard, CAST(crc.v AS INTEGER) AS virtual_slot
 FROM crc JOIN ranked ON crc.v = ranked.v JOIN deal ON deal.nth = ranked.nth"""
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary()
+    encoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
