@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import bpe, decontaminate, jaccard, sharding, substring, topk
+from fieldguard.llm import bpe, decontaminate, jaccard, sharding, substring, topk, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -195,3 +195,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, path)
+
+
+SQL["op4_warc"] = """
+WITH p AS (
+ SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+        sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+ SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+          ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT)
+            >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest
+ FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM b)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM m"""
