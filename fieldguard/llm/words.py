@@ -96,10 +96,10 @@ def find_words(
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     doc = np.searchsorted(offsets[1:], start, side="right")
     counts = np.bincount(doc, minlength=len(offsets) - 1)
-    return Words(data, start, end, doc, counts, _hashes(data, start, end))
+    return Words(data, start, end, doc, counts, span_hashes(data, start, end))
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     values = _bytes_to_values()
     out = np.empty(len(start), np.uint64)
     at = 0
