@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import bpe, decontaminate, jaccard, sharding, substring, topk, toxicity, warc
+from fieldguard.llm import bpe, chat, decontaminate, jaccard, sharding, substring, topk, toxicity, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -225,3 +225,31 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@_query
+def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+SQL["op9_perspectives"] = """
+WITH t AS (
+ SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker,
+        replace(coalesce(text, ''), '<|', '< |') AS content FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS assistant FROM t WHERE speaker <> 'system'),
+m AS (
+ SELECT t.conv_id, assistant, turn, speaker, content,
+        CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = assistant THEN 'assistant' ELSE 'user' END AS role,
+        CASE WHEN speaker <> 'system' AND speaker <> assistant THEN speaker END AS name
+ FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+r AS (
+ SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM m),
+x AS (SELECT *, head || content || '<|im_end|>' || chr(10) AS message FROM r),
+w AS (
+ SELECT *, CAST(sum(length(message)) OVER v AS BIGINT) AS z, row_number() OVER v AS n FROM x
+ WINDOW v AS (PARTITION BY conv_id, assistant ORDER BY turn NULLS FIRST, speaker, content
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT conv_id, assistant, turn, n - 1 AS nth, role, name, message, z - length(message) AS start,
+       z AS "end", CASE WHEN role = 'assistant' THEN z - length(message) + length(head) END AS mask_start,
+       CASE WHEN role = 'assistant' THEN z - 1 END AS mask_end
+FROM w"""
