@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import bpe, chat, decontaminate, jaccard, sharding, substring, topk, toxicity, warc
+from fieldguard.llm import bpe, chat, decontaminate, jaccard, pii, sharding, substring, topk, toxicity, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -253,3 +253,19 @@ SELECT conv_id, assistant, turn, n - 1 AS nth, role, name, message, z - length(m
        z AS "end", CASE WHEN role = 'assistant' THEN z - length(message) + length(head) END AS mask_start,
        CASE WHEN role = 'assistant' THEN z - 1 END AS mask_end
 FROM w"""
+
+
+@_query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs).drop("text")
+    said = lambda c: F.array_join(
+        F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(said("base"), 256).alias("base_sha256"),
+        said("spans").alias("spans"),
+    )
