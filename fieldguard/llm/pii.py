@@ -154,9 +154,11 @@ def candidates(region: Region, text: str) -> list[tuple[int, int, dict[str, list
 
 
 # Addresses with signs or spelled out: a plain "at" needs a spelled "dot".
+_DOT = r"(?:\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)"
+_NAME = rf"[\w.%+-]+(?:{_DOT}[\w.%+-]+)*"
+_HOST = rf"[\w-]+(?:(?:\.|{_DOT})[\w-]+)+"
 _ADDRESS = re.compile(
-    r"[\w.%+-]+(?:\s?@\s?|\s?[\[({]\s?at\s?[\])}]\s?)[\w-]+(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)[\w-]+)+"
-    r"|[\w.%+-]+\sat\s[\w-]+(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)[\w-]+)*(?:\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)[\w-]+",
+    rf"{_NAME}(?:\s?@\s?|\s?[\[({{]\s?at\s?[\])}}]\s?){_HOST}|{_NAME}\sat\s(?=.*dot){_HOST}",
     re.IGNORECASE,
 )
 _SPELLED = re.compile(r"@|[\[({]\s?at\s?[\])}]|\sat\s", re.IGNORECASE)
