@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +30,11 @@ from pyspark.sql import types as T
 from fieldguard.llm import words as W
 
 LEAF = 16_384
-_PIECE = 6 << 20
+_PIECE = 3 << 20
 # Words kept between pieces of a task; then the memory starts anew.
-_REMEMBERED = 200_000
+_REMEMBERED = 150_000
 _LONG_WORD = 64
-_TOKENS_AT_ONCE = 1 << 20
+_TOKENS_AT_ONCE = 1 << 19
 _SPACE = re.compile(r"[\t-\r ]")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -175,53 +176,76 @@ def _encode(file_text, columns: list[str]):
 def _cut(leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "row", "text")], strict=True)
-            for doc_id, row, text in rows:
+            others = [n for n in batch.schema.names if n != "text"]
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 parts = halves(text, leaf)
-                n = len(parts)
+                row = batch.select(others).take(pa.array([i] * len(parts)))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc_id] * n, pa.int64()),
-                        pa.array([row] * n, pa.int64()),
-                        pa.array(range(n), pa.int32()),
-                        pa.array(parts, pa.string()),
-                    ],
-                    names=["doc_id", "row", "part", "text"],
+                    [*row.columns, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())],
+                    names=[*others, "_part", "text"],
                 )
 
     return run
 
 
-def _join_parts(file_text):
+def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded parts, compressed for the shuffle."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        others = [n for n in batch.schema.names if n not in ("text", "ids")]
+        texts = [pack(x.encode()) for x in batch.column("text").to_pylist()]
+        ids = [pack(x.values.to_numpy().tobytes()) for x in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.select(others).columns, pa.array(texts, pa.binary()), pa.array(ids, pa.binary())],
+            names=[*others, "_text", "_ids"],
+        )
+
+
+def _join_parts(file_text, kept: list[str]):
     def run(table: pa.Table) -> pa.Table:
         encoder = Encoder.of(file_text.value)
-        table = table.sort_by("part")
-        parts = list(
-            zip(table.column("text").to_pylist(), [np.array(x, np.int32) for x in table.column("ids").to_pylist()], strict=True)
-        )
-        ids = concatenate(encoder, parts)
-        return pa.table(
-            {"doc_id": table.column("doc_id")[:1], "ids": _lists(ids, np.array([0, len(ids)]))}
-        )
+        table = table.sort_by("_part")
+        expand = zstandard.ZstdDecompressor().decompress
+        texts = [expand(x).decode() for x in table.column("_text").to_pylist()]
+        encoded = [np.frombuffer(expand(x), np.int32) for x in table.column("_ids").to_pylist()]
+        ids = concatenate(encoder, list(zip(texts, encoded, strict=True)))
+        out = table.select(kept).slice(0, 1)
+        return out.append_column("ids", _lists(ids, np.array([0, len(ids)])))
 
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame:
-    """doc_id, ids (array<int>) of every text. ``vocabulary``: path of a tokenizers JSON file."""
+def encode(
+    docs: DataFrame, vocabulary: str, leaf: int = LEAF, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the ``keep`` columns and ids (array<int>) of every text.
+
+    ``vocabulary`` is the path of a tokenizers JSON file.
+    """
     with open(vocabulary, encoding="utf-8") as f:  # a fixed size, read on the driver
         file_text = docs.sparkSession.sparkContext.broadcast(f.read())
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    kept = [f"_{c}" for c in ("doc_id", *keep)]
+    docs = docs.select(
+        *[F.col(c[1:]).alias(c) for c in kept], F.coalesce("text", F.lit("")).alias("text")
+    )
+    row = docs.schema.fields[:-1]
+    ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
+    number, part = T.StructField("_row", T.LongType()), T.StructField("_part", T.IntegerType())
+    text = docs.schema.fields[-1]
+    packed = [T.StructField(c, T.BinaryType()) for c in ("_text", "_ids")]
+
     short = docs.where(F.length("text") <= leaf)
-    encoded = short.mapInArrow(_encode(file_text, ["doc_id"]), "doc_id long, ids array<int>")
-    long = docs.where(F.length("text") > leaf).withColumn("row", F.monotonically_increasing_id())
-    parts = long.mapInArrow(_cut(leaf), "doc_id long, row long, part int, text string")
-    parts = parts.repartition("row", "part").mapInArrow(
-        _encode(file_text, ["doc_id", "row", "part", "text"]),
-        "doc_id long, row long, part int, text string, ids array<int>",
+    encoded = short.mapInArrow(_encode(file_text, kept), T.StructType([*row, ids]))
+    long = docs.where(F.length("text") > leaf).withColumn("_row", F.monotonically_increasing_id())
+    long = long.select(*kept, "_row", "text")
+    parts = long.mapInArrow(_cut(leaf), T.StructType([*row, number, part, text]))
+    parts = parts.repartition("_row", "_part").mapInArrow(
+        _encode(file_text, [*kept, "_row", "_part", "text"]), T.StructType([*row, number, part, text, ids])
     )
-    joined = parts.groupBy("row").applyInArrow(_join_parts(file_text), "doc_id long, ids array<int>")
-    return encoded.unionByName(joined)
+    parts = parts.mapInArrow(_press, T.StructType([*row, number, part, *packed]))
+    joined = parts.groupBy("_row").applyInArrow(_join_parts(file_text, kept), T.StructType([*row, ids]))
+    made = encoded.unionByName(joined)
+    return made.select(*[F.col(c).alias(c[1:]) for c in kept], "ids")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldguard.llm import words as W
@@ -125,29 +125,22 @@ def rarest(index: Index, counts: dict[int, dict[int, int]]) -> dict:
     return out
 
 
-def find_hits(index, prefix, last: bool):
-    """Task side of the second pass: adds this part's hits to ``runs`` (start, length, ...) and ``items``."""
+def find_hits(index, prefix):
+    """Task side of the second pass: adds this part's hits to ``_runs`` (start, length, ...) and ``_items``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = index.value
         for batch in W.pieces(batches, limit=_CHUNK):
             found = W.find_words(*W.text_arrays(batch.column("text")), W.ALNUM, W.LOWER)
-            runs, items = batch.column("runs").to_pylist(), batch.column("items").to_pylist()
+            runs, items = batch.column("_runs").to_pylist(), batch.column("_items").to_pylist()
             _verify(found, known, prefix.value, runs, items)
-            out = [batch.column("id")]
-            if last:
-                out += [
-                    pa.array(found.counts, pa.int64()),
-                    pa.array([_covered(r) for r in runs], pa.int64()),
-                    pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
-                ]
-            else:
-                out += [
-                    batch.column("text"),
-                    pa.array(runs, pa.list_(pa.int64())),
-                    pa.array(items, pa.list_(pa.string())),
-                ]
-            yield pa.RecordBatch.from_arrays(out, names=(_FOUND if last else _CARRIED))
+            made = {
+                "_words": pa.array(found.counts, pa.int64()),
+                "_runs": pa.array(runs, pa.list_(pa.int64())),
+                "_items": pa.array(items, pa.list_(pa.string())),
+            }
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([made.get(n, batch.column(n)) for n in names], names=names)
 
     return run
 
@@ -169,19 +162,13 @@ def _verify(found: W.Words, known: Index, prefix: dict, runs: list, items: list)
                     items[d] = [*items[d], known.ids[known.item[window[j]]]]
 
 
-def _covered(runs: list[int]) -> int:
+def _covered(runs: Column) -> Column:
     """Words in any of the runs."""
-    total, to = 0, 0
-    for at, size in sorted(set(zip(runs[::2], runs[1::2], strict=True))):
-        total += max(0, at + size - max(at, to))
-        to = max(to, at + size)
-    return total
-
-
-_CARRIED = ["id", "text", "runs", "items"]
-_FOUND = ["id", "n_words", "n_hit", "items"]
-_CARRIED_TYPE = "id long, text string, runs array<long>, items array<string>"
-_FOUND_TYPE = "id long, n_words long, n_hit long, items array<string>"
+    count = F.size(runs) / 2
+    places = F.when(count > 0, F.sequence(F.lit(0), (count - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    at = lambda i, k: F.element_at(runs, 2 * i + k)
+    words = F.flatten(F.transform(places, lambda i: F.sequence(at(i, 1), at(i, 1) + at(i, 2) - 1)))
+    return F.size(F.array_distinct(words)).cast("long")
 
 
 def _parts(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
@@ -199,20 +186,21 @@ def _parts(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
     yield part
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, items (the found item ids, sorted as strings)."""
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_words, n_hit, items (the found item ids, sorted as strings), and the ``keep`` columns."""
     sc = docs.sparkSession.sparkContext
-    plain = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    found = plain.select(
-        "id",
+    plain = docs.select("text")
+    found = docs.select(
+        F.col("doc_id").alias("_id"),
         "text",
-        F.array().cast("array<long>").alias("runs"),
-        F.array().cast("array<string>").alias("items"),
+        *[F.col(c).alias(f"_keep_{c}") for c in keep],
+        F.lit(0).cast("long").alias("_words"),
+        F.array().cast("array<long>").alias("_runs"),
+        F.array().cast("array<string>").alias("_items"),
     )
-    parts = _parts(benchmark, part_bytes)
-    part = next(parts)
-    while part is not None:
-        following = next(parts, None)
+    for part in _parts(benchmark, part_bytes):
         index = build(part)
         shared = sc.broadcast(index)
         tallied = plain.mapInArrow(count_shingles(shared), "k int, hash long, n long")
@@ -221,9 +209,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYT
         for k, value, n in tallied.groupBy("k", "hash").agg(F.sum("n")).collect():
             counts.setdefault(k, {})[value] = n
         prefix = sc.broadcast(rarest(index, counts))
-        last = following is None
-        found = found.mapInArrow(
-            find_hits(shared, prefix, last), _FOUND_TYPE if last else _CARRIED_TYPE
-        )
-        part = following
-    return found.withColumnRenamed("id", "doc_id")
+        found = found.mapInArrow(find_hits(shared, prefix), found.schema)
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_words").alias("n_words"),
+        _covered(F.col("_runs")).alias("n_hit"),
+        F.array_sort(F.array_distinct("_items")).alias("items"),
+        *[F.col(f"_keep_{c}").alias(c) for c in keep],
+    )

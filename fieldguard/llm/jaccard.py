@@ -165,8 +165,24 @@ def check_pairs(size: int, percent: int):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """id, packed of the documents in ``pairs``.
+
+    Documents are first held against the cells of the ids (a table of fixed size that may be broadcast),
+    so that of the others hardly any is shuffled.
+    """
+    ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS))
+    cells = F.broadcast(settle(ids.select(cell.alias("cell")).distinct()))
+    near = docs.withColumn("cell", cell).join(cells, "cell", "left_semi").select("id", "text")
+    packed = near.mapInArrow(press, "id long, packed binary")
+    return settle(packed.join(ids, "id", "left_semi"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
+    pairs = settle(pairs)
+    texts = _texts_of(docs, pairs)
     one = texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a"))
     two = texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b"))
     return pairs.join(two, "b").join(one, "a").mapInArrow(
@@ -180,6 +196,25 @@ def _similar(percent: int, n: Column, m: Column) -> tuple[Column, Column]:
     return sizes, F.ceil(percent * (n + m) / F.lit(100 + percent))
 
 
+def _reach(n: Column, i: Column, m: Column, j: Column) -> Column:
+    """Elements two ordered sets can share if they share the one at places i and j."""
+    return F.least(i, j) + F.least(n - i, m - j)
+
+
+def _differ(x: Column, y: Column) -> Column:
+    """A number of elements that are surely in one set only, from the bitmaps."""
+    return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(8)), start=F.lit(0))
+
+
+def _near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that sizes and bitmaps allow."""
+    one = members.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = members.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    sizes, needs = _similar(percent, F.col("n_a"), F.col("n_b"))
+    allowed = _differ(F.col("bits_a"), F.col("bits_b")) <= F.col("n_a") + F.col("n_b") - 2 * needs
+    return pairs.join(one, "a").join(two, "b").where(sizes & allowed)
+
+
 def link_components(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -199,23 +234,26 @@ def link_components(
     groups = members.groupBy("grp", "n").agg(F.min(F.struct("id", "prefix")).alias("x"))
     groups = groups.select("grp", "n", "x.id", "x.prefix")
     postings = groups.select("grp", "id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = postings.groupBy("token").agg(F.min("id").alias("hub"), F.count("*").alias("c"))
-    live = settle(
-        postings.join(shared.where("c > 1").select("token", "hub"), "token")
+    shared = postings.groupBy("token").agg(
+        F.min(F.struct("id", F.col("n").alias("m"), F.col("pos").alias("at"))).alias("hub"),
+        F.count("*").alias("c"),
     )
+    live = settle(postings.join(shared.where("c > 1").select("token", "hub"), "token"))
 
     # One hub per group, one first class per group.
-    hubs = live.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("c"))
-    hubs = hubs.groupBy("id").agg(F.max(F.struct("c", F.col("hub").alias("h"))).alias("x"))
-    hubs = hubs.select(F.col("x.h").alias("a"), F.col("id").alias("b"))
+    sizes, needs = _similar(percent, F.col("n"), F.col("hub.m"))
+    met = live.where(F.col("id") != F.col("hub.id")).where(
+        sizes & (_reach(F.col("n"), F.col("pos"), F.col("hub.m"), F.col("hub.at")) >= needs)
+    )
+    met = met.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("c"))
+    hubs = _near(met, members, percent).groupBy("b").agg(F.max(F.struct("c", "a")).alias("x"))
+    hubs = hubs.select(F.col("x.a").alias("a"), "b")
     first = members.groupBy("grp", "n").agg(F.min("id").alias("a"), F.count("*").alias("c"))
     first = first.where("c > 1").join(members.select("grp", "n", F.col("id").alias("b")), ["grp", "n"])
     several = settle(first.select("grp", "n", "a", "b"))
-    stars = settle(hubs.union(several.where("a <> b").select("a", "b")))
-    needed = live.select("id").union(several.select(F.col("b").alias("id"))).distinct()
-    packed = docs.mapInArrow(press, "id long, packed binary")
-    texts = settle(packed.join(needed, "id", "left_semi"))
-    links = settle(verified(stars, texts, size, percent))
+    own = _near(several.where("a <> b").select("a", "b"), members, percent).select("a", "b")
+    stars = settle(hubs.union(own))
+    links = settle(verified(stars, docs, size, percent))
     found = settle(components(links))
 
     # What is still apart: classes of the live groups, by token and by group.
@@ -237,10 +275,7 @@ def link_components(
     two = entries.alias("q")
     p, q = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"q.{c}"))
     sizes, needs = _similar(percent, p("n"), q("n"))
-    reach = F.least(p("pos"), q("pos")) + F.least(p("n") - p("pos"), q("n") - q("pos"))
-    differ = sum(
-        (F.bit_count(p("bits")[i].bitwiseXOR(q("bits")[i])) for i in range(8)), start=F.lit(0)
-    )
+    reach = _reach(p("n"), p("pos"), q("n"), q("pos"))
     near = one.join(
         two,
         (p("token") == q("token"))
@@ -248,13 +283,13 @@ def link_components(
         & ((q("component") == q("main")) | (p("id") < q("id")))
         & sizes
         & (reach >= needs)
-        & (differ <= p("n") + q("n") - 2 * needs),
+        & (_differ(p("bits"), q("bits")) <= p("n") + q("n") - 2 * needs),
     )
     pairs = near.select(p("id").alias("a"), q("id").alias("b")).distinct()
     # A pair tried as a star and refused need not be tried again.
     tried = stars.union(stars.select("b", "a"))
     pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    more = verified(pairs, texts, size, percent)
+    more = verified(pairs, docs, size, percent)
 
     named = rows.join(members.select("one", "two", "n", F.col("id").alias("rep")), ["one", "two", "n"], "left")
     named = settle(named.select("id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")))

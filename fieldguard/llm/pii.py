@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldguard.llm import words as W
 
@@ -161,6 +162,8 @@ _ADDRESS = re.compile(
     rf"{_NAME}(?:\s?@\s?|\s?[\[({{]\s?at\s?[\])}}]\s?){_HOST}|{_NAME}\sat\s(?=.*dot){_HOST}",
     re.IGNORECASE,
 )
+# Where nothing but words spells the address, it must end in one of these.
+KNOWN_TOPS = frozenset("com org net edu gov info io de fr es it uk eu co us".split())
 _SPELLED = re.compile(r"@|[\[({]\s?at\s?[\])}]|\sat\s", re.IGNORECASE)
 _QUAD = re.compile(r"[0-9]{1,3}(?:\s?[\[(]?(?:\.|dot)[\])]?\s?[0-9]{1,3}){3}", re.IGNORECASE)
 
@@ -202,6 +205,8 @@ def _traits(region: Region, i: int, j: int, shape: list[str], digits: int, text:
         dots = len(re.findall(r"(?i)\bdot\b", said))
         form = "@" if "@" in said else ("bracket" if re.search(r"[\[({]\s?at", said, re.IGNORECASE) else "word")
         last = re.split(r"[\W_]+", said)[-1]
+        if form == "word" and last.lower() not in KNOWN_TOPS:
+            return {k: [f"{k}|{x}" for x in v] + [k] for k, v in out.items()}
         out["email"] = [
             f"form:{form}", f"form:{form},dots:{dots > 0}", f"top:{last.isalpha() and 2 <= len(last) <= 6}",
             f"spaces:{min(said.count(' '), 6)}", *edges,
@@ -407,9 +412,11 @@ def learn(docs: DataFrame, limit: int = TRAIN_DOCS) -> Field:
 
 
 def find(docs: DataFrame, text: str = "text", limit: int = TRAIN_DOCS) -> DataFrame:
-    """Adds ``base`` and ``spans`` (arrays of kind, start, end): patterns alone, and with the field's."""
-    from pyspark.sql import types as T
+    """Adds ``base`` and ``spans`` (arrays of kind, start, end): patterns alone, and with the field's.
 
+    Columns of these names are replaced; all others are kept.
+    """
+    docs = docs.drop("base", "spans")
     model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(F.col(text).alias("text")), limit))
     span = T.ArrayType(
         T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])

@@ -7,8 +7,8 @@ a character language model (4-grams, counted over all documents). The restored t
 by a logistic model of the words it holds.
 
 The language model is a table of fixed size. The word model is fitted on at most ``TRAIN_ROWS`` labelled
-rows (those with the least hash of their id), never on held-out ones; its features are the words of
-that sample. All documents are scored over their whole texts.
+rows (those with the least hash of their id), never on held-out ones; its features are the at most
+``MOST_TRAITS`` words and beginnings of words that tell most in that sample. All documents are scored over their whole texts.
 
 Defined results: null and empty texts get the score of no evidence; rows are scored one by one, so
 repeats score alike; a null doc_id counts as held out; labels that are null teach nothing.
@@ -25,6 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldguard.llm import words as W
 from fieldguard.session import settle
@@ -32,6 +33,7 @@ from fieldguard.session import settle
 TRAIN_ROWS, THRESHOLD = 10_000, 0.3
 # Bytes of a word's beginnings that are features besides the word.
 STEMS = (4, 5, 6)
+MOST_TRAITS = 4000
 _PIECE = 8 << 20
 # The language model's letters: a to z, the edge of a word, any other letter.
 EDGE, OTHER, LETTERS = 26, 27, 28
@@ -302,35 +304,36 @@ def features(data, offsets, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs // len(known), pairs % len(known)
 
 
-def fit(
-    rows: list[tuple[bytes, int]], most: int = 4000, least_z: float = 6.0, rounds: int = 200, decay: float = 1.0
-) -> WordModel:
-    """Logistic regression on the presence of traits, with a ridge; ``rows``: trait hashes and label.
+def telling(taught: DataFrame, most: int = MOST_TRAITS, least_z: float = 6.0) -> np.ndarray:
+    """Sorted hashes of the traits whose count among toxic rows lies furthest from chance.
 
-    Of the sample's traits the ``most`` telling ones are used: those whose count among toxic rows lies
-    furthest, and at least ``least_z`` deviations, from what chance would give.
+    ``taught``: traits (array<long>), toxic. At most ``most`` traits, each at least ``least_z``
+    deviations away and in 3 rows.
     """
+    n, toxic = taught.agg(F.count("*"), F.sum("toxic")).first()
+    share = min(max((toxic or 0) / max(n, 1), 1e-4), 1 - 1e-4)
+    counts = taught.select(F.explode("traits").alias("trait"), "toxic").groupBy("trait")
+    counts = counts.agg(F.count("*").alias("n"), F.sum("toxic").alias("among")).where("n >= 3")
+    far = F.abs(F.col("among") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
+    top = counts.withColumn("z", far).where(F.col("z") >= least_z).orderBy(F.desc("z"), "trait").limit(most)
+    return np.sort(np.array([r[0] for r in top.select("trait").collect()], np.int64).view(np.uint64))
+
+
+def fit(
+    known: np.ndarray, rows: list[tuple[list[int], int]], rounds: int = 200, decay: float = 0.3
+) -> WordModel:
+    """Logistic regression on the presence of traits, with a ridge; ``rows``: places in ``known``, label."""
     if not rows:
-        return WordModel(np.empty(0, np.uint64), np.empty(0), math.log(0.05 / 0.95))
-    lists = [np.frombuffer(x, np.uint64) for x, _ in rows]
+        return WordModel(known[:0], np.empty(0), math.log(0.05 / 0.95))
     label = np.array([y for _, y in rows], np.float64)
     toxic = min(max(label.mean(), 1e-4), 1 - 1e-4)
     bias = math.log(toxic / (1 - toxic))
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    known, at, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    among = np.bincount(at, label[row], minlength=len(known))
-    z = np.abs(among - count * toxic) / np.sqrt(count * toxic * (1 - toxic))
-    z[count < 3] = 0
-    picked = np.sort(np.argsort(-z, kind="stable")[:most])
-    picked = picked[z[picked] >= least_z]
-    place = np.full(len(known), -1)
-    place[picked] = np.arange(len(picked))
-    hit = place[at] >= 0
-    known, row, at = known[picked], row[hit], place[at][hit]
+    row = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
+    at = np.array([i for x, _ in rows for i in x], np.int64)
     weights, speed, speed_bias = np.zeros(len(known)), np.zeros(len(known)), 0.0
     # Steps are scaled by each trait's gradients so far, so frequent and rare ones move alike.
     for _ in range(rounds):
-        sums = np.bincount(row, weights[at], minlength=len(lists)) + bias
+        sums = np.bincount(row, weights[at], minlength=len(rows)) + bias
         wrong = 1 / (1 + np.exp(-np.clip(sums, -30, 30))) - label
         gradient = np.bincount(at, wrong[row], minlength=len(known)) + decay * weights
         speed += gradient**2
@@ -353,16 +356,31 @@ def training_sample(labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def _restored_words(model):
+def _restored_traits(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
         for batch in W.pieces(batches, limit=_PIECE):
             doc, value = distinct_traits(*restorer.restore(batch.column("text")))
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            said = [value[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(said, pa.binary()), batch.column("toxic")], names=["words", "toxic"]
-            )
+            traits = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([traits, batch.column("toxic")], names=["traits", "toxic"])
+
+    return run
+
+
+def _places(known):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("traits")
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(len(lists)), sizes)
+            at = np.searchsorted(known.value, flat)
+            at[at == len(known.value)] = 0
+            hit = known.value[at] == flat if len(known.value) else np.zeros(len(flat), bool)
+            cuts = np.searchsorted(row[hit], np.arange(len(lists) + 1))
+            places = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(at[hit], pa.int64()))
+            yield pa.RecordBatch.from_arrays([places, batch.column("toxic")], names=["places", "toxic"])
 
     return run
 
@@ -372,10 +390,8 @@ def _score(model, words):
         restorer = Restorer(model.value)
         for batch in W.pieces(batches, limit=_PIECE):
             scores = words.value.scores(*restorer.restore(batch.column("text")))
-            columns = [c for c in batch.schema.names if c != "_score"]
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(columns).columns, pa.array(scores, pa.float64())],
-                names=[*columns, "_score"],
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_score"]
             )
 
     return run
@@ -395,16 +411,19 @@ class Scorer:
         # At most ``limit`` small rows, so they can be broadcast.
         sample = F.broadcast(settle(training_sample(labels, limit)))
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
-        taught = texts.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-            _restored_words(model), "words binary, toxic int"
+        taught = settle(
+            texts.select("text", (F.col("toxic") == 1).cast("int").alias("toxic")).mapInArrow(
+                _restored_traits(model), "traits array<long>, toxic int"
+            )
         )
-        rows = [(bytes(r[0]), int(r[1] == 1)) for r in taught.orderBy(F.xxhash64("words")).limit(limit).collect()]
-        return cls(model, sc.broadcast(fit(rows)))
+        known = telling(taught)
+        # A row of a few of the chosen traits for each sampled document.
+        rows = taught.mapInArrow(_places(sc.broadcast(known)), "places array<long>, toxic int").collect()
+        return cls(model, sc.broadcast(fit(known, [(r[0], r[1]) for r in rows])))
 
     def score(self, texts: DataFrame) -> DataFrame:
-        """Adds ``_score`` to rows with a column ``text``."""
-        from pyspark.sql import types as T
-
+        """Adds (or replaces) ``_score`` in rows with a column ``text``; other columns are kept."""
+        texts = texts.drop("_score")
         schema = T.StructType([*texts.schema.fields, T.StructField("_score", T.DoubleType())])
         return texts.mapInArrow(_score(self.model, self.words), schema)
 
