@@ -305,16 +305,16 @@ def features(data, offsets, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def telling(taught: DataFrame, most: int = MOST_TRAITS, least_z: float = 6.0) -> np.ndarray:
-    """Sorted hashes of the traits whose count among toxic rows lies furthest from chance.
+    """Sorted hashes of the traits whose count among toxic rows lies furthest over chance.
 
     ``taught``: traits (array<long>), toxic. At most ``most`` traits, each at least ``least_z``
-    deviations away and in 3 rows.
+    deviations over it and in 3 rows. Only signs of toxicity count, so a text without any scores low.
     """
     n, toxic = taught.agg(F.count("*"), F.sum("toxic")).first()
     share = min(max((toxic or 0) / max(n, 1), 1e-4), 1 - 1e-4)
     counts = taught.select(F.explode("traits").alias("trait"), "toxic").groupBy("trait")
     counts = counts.agg(F.count("*").alias("n"), F.sum("toxic").alias("among")).where("n >= 3")
-    far = F.abs(F.col("among") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
+    far = (F.col("among") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
     top = counts.withColumn("z", far).where(F.col("z") >= least_z).orderBy(F.desc("z"), "trait").limit(most)
     return np.sort(np.array([r[0] for r in top.select("trait").collect()], np.int64).view(np.uint64))
 
