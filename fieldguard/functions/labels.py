@@ -52,8 +52,21 @@ def week_label(ts: Column) -> Column:
 
 
 def utc_time(text: Column) -> Column:
-    """Timestamp of an ISO text, NULL if it is not one."""
-    return F.try_to_timestamp(text)
+    """UTC wall time (without zone) of an ISO text, NULL if it is not one.
+
+    Texts without an offset are taken as UTC; the session's time zone plays no part.
+    """
+    day = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s*$"
+    zoned = r"(?i)(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
+    trimmed = F.trim(text)
+    full = (
+        F.when(trimmed.rlike(day), F.concat(trimmed, F.lit(" 00:00:00Z")))
+        .when(trimmed.rlike(r"[0-9]:[0-9]") & ~trimmed.rlike(r":[0-9.]+" + zoned), F.concat(trimmed, F.lit("Z")))
+        .otherwise(trimmed)
+    )
+    seconds = (F.unix_micros(F.try_to_timestamp(full)) / 1_000_000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def group_label(

@@ -89,7 +89,7 @@ def in_window(collected_at: Column, window: tuple[str, str] | None) -> Column:
     if window is None:
         return F.lit(True)
     when = labels.utc_time(collected_at)
-    start, end = (F.to_timestamp(F.lit(edge)) for edge in window)
+    start, end = (F.lit(edge).cast("timestamp_ntz") for edge in window)
     return (when >= start) & (when < end)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,11 +140,22 @@ def safe_name(field: Column) -> Column:
     return F.substring(F.regexp_replace(field, r'[<>:"/\\|?*\[\]=.]', "_"), 1, 120)
 
 
+def with_folder_names(values: DataFrame) -> DataFrame:
+    """Add ``field_file``: the safe name; selectors that would share it get a digest after it.
+
+    The list of fields is small and read for this.
+    """
+    fields = values.select("field").distinct().withColumn("_name", safe_name(F.col("field")))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("_name")) > 1
+    digest = F.concat("_name", F.lit("-"), F.substring(F.md5("field"), 1, 12))
+    named = fields.select("field", F.when(shared, digest).otherwise(F.col("_name")).alias("field_file"))
+    return values.join(small_side(named), "field")
+
+
 def write_per_field(values: DataFrame, path: str) -> None:
     """One folder per model and field."""
-    named = values.withColumn("field_file", safe_name(F.col("field")))
     (
-        balanced(named, "model", "field_file")
+        balanced(with_folder_names(values), "model", "field_file")
         .write.partitionBy("model", "field_file")
         .mode("errorifexists")
         .parquet(path)

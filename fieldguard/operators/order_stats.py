@@ -1,9 +1,9 @@
 """Exact order statistics per group, without ever putting a whole group into one task.
 
 Values are first counted (equal values collapse before the shuffle). Ranks then come from running
-totals over *chunks*: about one row in ``chunk_rows`` is picked by its hash as a chunk edge, chunk
-totals are summed over that short list, and only a chunk at a time is sorted. Edges depend on the
-data alone, so a re-run task cuts the same chunks again. Tables that fit one chunk skip all that.
+totals over *chunks*: Spark cuts the rows into sorted ranges of about ``chunk_rows`` rows, the ranges
+are written once, chunk totals are summed over that short list, and only a chunk at a time is sorted.
+Tables that fit one chunk skip all that.
 
 Inputs are read more than once: hand in settled tables (``fieldguard.session.settle``).
 """
@@ -11,39 +11,24 @@ Inputs are read more than once: hand in settled tables (``fieldguard.session.set
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldguard.session import settle
 
-# Expected rows per chunk, and the expected number of chunk edges that may be broadcast: larger
-# tables get larger chunks.
+# Expected rows per chunk.
 CHUNK_ROWS = 1 << 20
-MAX_EDGES = 100_000
 # Up to this many rows per group, Spark itself keeps only each task's best rows for a window.
 LIMIT_PUSHED = 1000
 
 
-def _order_key(order: Sequence[str]) -> Column:
-    """Sort key as one comparable struct; NULLs last."""
-    parts = []
-    for i, name in enumerate(order):
-        parts.append(F.col(name).isNull().alias(f"n{i}"))
-        parts.append(F.col(name).alias(f"v{i}"))
-    return F.struct(*parts)
-
-
-def _edges_below(edges: Column, key: Column) -> Column:
-    """How many of the sorted edges are <= key (binary search)."""
-    steps = F.array(*[F.lit(1 << s) for s in range(20, -1, -1)])
-    reach = F.size(edges)
-    found = F.aggregate(
-        F.filter(steps, lambda s: s <= reach),
-        F.lit(0),
-        lambda at, s: F.when(F.get(edges, at + s - 1) <= key, at + s).otherwise(at),
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    """Join condition on key columns that also matches NULL with NULL."""
+    return reduce(
+        lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in names]
     )
-    return F.coalesce(F.when(edges.isNotNull(), found), F.lit(0))
 
 
 def with_running_total(
@@ -56,8 +41,11 @@ def with_running_total(
 ) -> DataFrame:
     """Add ``_before`` (weight of the rows sorted before this one in its group) and ``_total``.
 
-    ``keys`` must not be NULL and ``order`` must tell the rows of a group apart. Without
+    ``order`` must tell the rows of a group apart; NULL keys are a group like any other. Without
     ``weight`` every row counts 1, so ``_before + 1`` is the row number.
+
+    Tables of more than ``chunk_rows`` rows are cut into sorted ranges of about that many rows and
+    written once with the number of their range; both routes give the same rows.
     """
     keys, order = list(keys), list(order)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
@@ -71,17 +59,9 @@ def with_running_total(
         return df.withColumns(
             {"_before": F.sum(w).over(running) - w, "_total": F.sum(w).over(group)}
         )
-    chunk_rows = max(chunk_rows, rows // MAX_EDGES)
-    edges = (
-        df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(chunk_rows)) == 0)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(_order_key(order))).alias("_edges"))
-    )
-    # One row in chunk_rows was picked, so about MAX_EDGES rows at most are broadcast.
-    cut = df.join(F.broadcast(edges), keys, "left").withColumn(
-        "_chunk", _edges_below(F.col("_edges"), _order_key(order))
-    )
-    cut = cut.drop("_edges")
+    ranges = -(-rows // chunk_rows)
+    ranged = df.repartitionByRange(ranges, *[F.col(c).asc_nulls_last() for c in keys], *sorted_order)
+    cut = settle(ranged.withColumn("_chunk", F.spark_partition_id()))
     sums = cut.groupBy(*keys, "_chunk").agg(F.sum(w).alias("_sum"))
     earlier = group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -95,10 +75,12 @@ def with_running_total(
         .orderBy(*sorted_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        cut.join(offsets, [*keys, "_chunk"])
-        .withColumn("_before", F.col("_offset") + F.sum(w).over(inside) - w)
-        .drop("_chunk", "_offset")
+    placed = cut.withColumn("_inside", F.sum(w).over(inside) - w)
+    joined = placed.alias("r").join(offsets.alias("o"), _same("r", "o", [*keys, "_chunk"]))
+    return joined.select(
+        *[f"r.{c}" for c in df.columns],
+        (F.col("o._offset") + F.col("r._inside")).alias("_before"),
+        F.col("o._total").alias("_total"),
     )
 
 

@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.functions.numeric import parse_number
-
 
 def escape_literal(text: Column) -> Column:
     r"""Text as one line: ``\`` doubled first, then line ends to ``\n``. Reversible."""
@@ -93,14 +91,26 @@ def version_path(prefix: str, model: Column, variant: Column, tag: str) -> Colum
 
 
 def export_version(ranges: DataFrame, root: str, tag: str, prefix: str = "range") -> DataFrame:
-    """Write the ranges under a new version and return the manifest (model, variant, last_path).
+    """Write one CSV export per model and variant; returns the manifest (model, variant, last_path).
 
-    An existing version is never overwritten.
+    Every export lies at its recorded path below ``root``. None is overwritten: a path that exists
+    fails its write. A range table has some models and two variants, so its pairs are a short list.
     """
-    versioned = ranges.withColumn("version", F.lit(tag))
-    target = f"{root.rstrip('/')}/{prefix.strip('/')}/{tag}"
-    versioned.write.mode("errorifexists").partitionBy("model", "variant", "version").parquet(target)
-    return manifest(ranges, tag, prefix)
+    noted = manifest(ranges, tag, prefix)
+    columns = [c for c in ("field", "min", "max", *RANGE_COLUMNS[3:]) if c in (*ranges.columns, "min", "max")]
+    mark = F.col("is_non_numeric")
+    cells = ranges.withColumns(
+        {
+            "min": F.when(mark, "true").otherwise(F.col("lo").cast("string")),
+            "max": F.when(mark, "true").otherwise(F.col("hi").cast("string")),
+        }
+    )
+    for model, variant, path in noted.collect():
+        own = cells.filter((F.col("model") == model) & (F.col("variant") == variant))
+        own.select(*columns).coalesce(1).sortWithinPartitions("field").write.mode(
+            "errorifexists"
+        ).option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/{path}")
+    return noted
 
 
 def manifest(ranges: DataFrame, tag: str, prefix: str = "range") -> DataFrame:
@@ -125,8 +135,8 @@ def rule_ids(spark: SparkSession, id_to_model: Mapping[object, object]) -> DataF
 
 def reversed_ids(ids: DataFrame) -> DataFrame:
     """The same from a table (id_text, model): one id per model, the last one listed wins."""
-    number = parse_number(F.col("id_text"))
-    whole = F.when(number == F.floor(number), number.cast("bigint"))
+    text = F.trim("id_text")
+    whole = F.when(text.rlike("^[+-]?[0-9]+$"), F.expr("try_cast(trim(id_text) AS bigint)"))
     clean = ids.select(F.trim("model").alias("model"), whole.alias("rule_id"), "pos")
     clean = clean.filter((F.col("model") != "") & F.col("rule_id").isNotNull())
     return clean.groupBy("model").agg(F.max_by("rule_id", "pos").alias("rule_id"))
@@ -136,8 +146,19 @@ def reversed_ids(ids: DataFrame) -> DataFrame:
 BODY_KEYS = {"base": ("config", "csvPath"), "full": ("configFull", "csvFullPath")}
 
 
-def payload_rows(packed: DataFrame, ids: DataFrame, paths: DataFrame | None = None) -> DataFrame:
-    """(model, rule_id, key, body): JSON bodies to send; models without an id yield nothing."""
+def payload_rows(
+    packed: DataFrame, ids: DataFrame, paths: DataFrame | None = None, on_missing: str = "skip"
+) -> DataFrame:
+    """(model, rule_id, key, body): JSON bodies to send.
+
+    Models without an id yield nothing, or with ``on_missing="error"`` an error that names them.
+    """
+    if on_missing not in ("skip", "error"):
+        raise ValueError(f"on_missing is {on_missing!r}")
+    if on_missing == "error":
+        lost = [r[0] for r in missing_ids(packed, ids).limit(20).collect()]
+        if lost:
+            raise KeyError(f"models without a rule id: {sorted(lost)}")
     pieces = [(packed.withColumnRenamed("literal", "_content"), 0)]
     if paths is not None:
         pieces.append((paths.withColumnRenamed("last_path", "_content"), 1))

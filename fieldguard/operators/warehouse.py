@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldguard.functions import labels
 from fieldguard.operators.extract import select_cells
@@ -205,6 +206,9 @@ def write_star(tables: Mapping[str, DataFrame], path: str, *, mode: str = "overw
     reading a few fields skips most files and row groups.
     """
     for name, df in tables.items():
+        blank = F.col("model").isNull() | (F.trim("model") == "")
+        unnamed = F.raise_error(F.lit(f"a row of {name} has no model"))
+        df = df.withColumn("model", F.when(blank, unnamed.cast("string")).otherwise(F.col("model")))
         if name == "field_value":
             df = balanced(df, "model", "field_id").sortWithinPartitions("model", "field_id")
         else:
@@ -218,7 +222,14 @@ def write_star(tables: Mapping[str, DataFrame], path: str, *, mode: str = "overw
 
 
 def read_star(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}")
+    """A table of the star with all columns that any of its files has; models are text.
+
+    A partial refresh may have added columns: rows written before hold NULL there.
+    """
+    folder = f"{path}/{name}"
+    merged = spark.read.option("mergeSchema", True).parquet(folder).schema
+    fixed = [T.StructField(f.name, T.StringType() if f.name == "model" else f.dataType) for f in merged]
+    return spark.read.schema(T.StructType(fixed)).parquet(folder)
 
 
 def _count(df: DataFrame, table: str, check: str) -> DataFrame:

@@ -13,7 +13,7 @@ from fieldguard.operators.discover import BlockRule, FieldFilter
 from fieldguard.operators.learn import LearnParams, TextRule
 from fieldguard.plans import oracle as sql
 from fieldguard.plans.learning import PART_FIELDS, order_values, part_fields
-from fieldguard.session import shared_dir
+from fieldguard.session import settle, shared_dir
 from fieldguard.sources import bindings as b
 from fieldguard.sources import reports as src
 
@@ -637,13 +637,25 @@ FROM packed"""
 
 
 def p3_export(spark, d):
-    """Write a new version, then read it back beside its manifest."""
-    ranges = order_ranges(spark, d)
+    """Write a new version model by model, then read every export at its recorded path."""
+    ranges = settle(order_ranges(spark, d))
     root = f"{shared_dir(spark)}/export-{uuid4().hex}"
-    noted = publish.export_version(ranges, root, "20240130_120000")
-    back = spark.read.parquet(f"{root}/range/20240130_120000")
-    back = back.groupBy("model", "variant", "version").agg(F.count(F.lit(1)).alias("fields"))
-    return noted.join(back, ["model", "variant"])
+    tag = "20240130_120000"
+    first = ranges.filter("model < 'C'")
+    noted = [
+        tuple(r)
+        for part in (first, ranges.filter("NOT model < 'C'"))
+        for r in publish.export_version(part, root, tag).collect()
+    ]
+    back = None
+    for model, variant, path in noted:
+        own = spark.read.option("header", True).option("escape", '"').csv(f"{root}/{path}")
+        own = own.agg(F.count("field").alias("fields")).select(
+            F.lit(model).alias("model"), F.lit(variant).alias("variant"), F.lit(tag).alias("version"),
+            "fields", F.lit(path).alias("last_path"),
+        )
+        back = own if back is None else back.union(own)
+    return back
 
 
 P3_SQL = f"""{_PACKED} SELECT model, 'base' AS variant, '20240130_120000' AS version, count(*) AS fields,

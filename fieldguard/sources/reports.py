@@ -12,6 +12,7 @@ from fieldguard.session import balanced, small_side
 
 # Fixed value: characters not allowed in a model name.
 ILLEGAL_CHARACTERS = r'[<>:"/\\|?*\x00-\x1F]'
+COLLECT_SUFFIX = "_collect.json"
 MISSING_MODEL = "MODEL_MISSING"
 
 
@@ -86,13 +87,15 @@ def clean_name(name: Column, fallback: str = MISSING_MODEL) -> Column:
 
 
 def detect_model(reports: DataFrame, default: str = MISSING_MODEL) -> DataFrame:
-    """(taskid, model): the report with the smallest path decides for its whole task.
+    """(taskid, model): one report decides for its whole task.
 
-    Only the name found in each text travels, so documents are not shuffled.
+    That is the smallest path among files named ``*_collect.json``, else among all. Only the name
+    found in each text travels, so documents are not shuffled.
     """
     named = reports.select("taskid", "path", named_model(F.col("raw")).alias("_name"))
+    other = ~F.col("path").endswith(COLLECT_SUFFIX)
     first = named.groupBy("taskid").agg(
-        F.min_by(F.struct("_name"), F.col("path")).alias("_first")
+        F.min_by(F.struct("_name"), F.struct(other.alias("_other"), "path")).alias("_first")
     )
     return first.select("taskid", clean_name(F.col("_first._name"), default).alias("model"))
 
@@ -157,7 +160,7 @@ def landing_conflicts(reports: DataFrame) -> DataFrame:
     """(model, taskid, sources): tasks that would land in the same place from several areas."""
     return (
         reports.groupBy("model", "taskid")
-        .agg(F.count_distinct("area").alias("sources"))
+        .agg(F.count_distinct(F.coalesce("area", F.lit(""))).alias("sources"))
         .filter("sources > 1")
     )
 
@@ -218,12 +221,16 @@ def filter_models(
     skip: Sequence[str] = (),
     start_from: str | None = None,
 ) -> DataFrame:
-    """The same on rows, models in name order: filters that reach the partitions of the scan."""
+    """The same on rows, models in name order: filters that reach the partitions of the scan.
+
+    With ``start_from`` the model names (a short list) are read first, as its place in them counts.
+    """
     model = F.col("model")
+    if start_from:
+        names = sorted(r[0] for r in reports.select("model").distinct().collect() if r[0] is not None)
+        return reports.filter(model.isin(*select_models(names, only, skip, start_from)))
     if only:
         reports = reports.filter(model.isin(*only))
     if skip:
         reports = reports.filter(~model.isin(*skip))
-    if start_from:
-        reports = reports.filter(model >= start_from)
     return reports

@@ -123,3 +123,23 @@ def test_first_rows_both_ways(spark, monkeypatch):
     monkeypatch.undo()
     plan = order_stats.first_rows(df, KEYS, ["x"], 4)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("chunk_rows", [4, 1 << 20])
+def test_null_keys_are_groups(spark, chunk_rows):
+    """Both routes keep rows whose key is NULL, alone and beside other groups."""
+    data = [(None if i % 2 else "a", None if i % 3 else i % 5, i) for i in range(60)]
+    df = spark.createDataFrame(data, "g string, h int, i int")
+    got = order_stats.row_numbers(df, ["g", "h"], ["i"], chunk_rows=chunk_rows, total="n").collect()
+    assert len(got) == 60
+    for key in {(r["g"], r["h"]) for r in got}:
+        part = sorted((r for r in got if (r["g"], r["h"]) == key), key=lambda r: r["i"])
+        assert [r["rank"] for r in part] == list(range(1, len(part) + 1))
+        assert {r["n"] for r in part} == {len(part)}
+
+
+@pytest.mark.parametrize("chunk_rows", [4, 1 << 20])
+def test_quantiles_of_a_null_group(spark, chunk_rows):
+    df = settle(spark.range(41).selectExpr("cast(null as string) as g", "cast(id as double) as x", "1L as _count"))
+    row = order_stats.quantiles(df, KEYS, "x", [0.25, 0.5], chunk_rows=chunk_rows).collect()
+    assert [tuple(r) for r in row] == [(None, 41, 0.0, 40.0, 10.0, 20.0)]

@@ -194,6 +194,16 @@ def test_publish(spark, tmp_path):
     assert rows(noted) == [("m'1", "base", "range/m'1/base/v1"), ("n", "full", "range/n/full/v1")]
     with pytest.raises(Exception):
         publish.export_version(ranges, str(tmp_path), "v1")
+    for model, variant, path in [tuple(r) for r in noted.collect()]:
+        back = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/{path}")
+        want = ranges.filter((ranges.model == model) & (ranges.variant == variant))
+        assert rows(back, "field") == rows(want, "field") and back.columns[:3] == ["field", "min", "max"]
+    other = ranges.filter("model = 'n'").withColumn("model", F.lit("second"))
+    assert rows(publish.export_version(other, str(tmp_path), "v1")) == [("second", "full", "range/second/full/v1")]
+    with pytest.raises(KeyError):
+        publish.payload_rows(packed, ids, on_missing="error")
+    odd = spark.createDataFrame([("9007199254740993", "a", 1), ("1e3", "b", 1), (" 12 ", "c", 1)], "id_text string, model string, pos int")
+    assert rows(publish.reversed_ids(odd)) == [("a", 9007199254740993), ("c", 12)]
     bodies = publish.payload_rows(packed, ids, noted)
     assert rows(bodies, "key", "body") == [
         ("configFull", '{"id":7,"configFull":"field,min,max\\\\na,0.0,1.0\\\\n"}'),
@@ -213,3 +223,28 @@ def test_write_per_field(spark, tmp_path):
     assert {(r["field_file"], r["count"]) for r in back.groupBy("field_file").count().collect()} == {
         ("__a_", 50), ("__b___c_", 50),
     }
+
+
+def test_star_keeps_model_names_and_new_columns(spark, tmp_path):
+    one = spark.createDataFrame([("007", 1, "f"), ("7", 2, "f")], "model string, field_id int, field string")
+    warehouse.write_star({"field": one}, str(tmp_path))
+    warehouse.write_star({"field": one.filter("model = '7'").withColumn("unit", F.lit("m"))}, str(tmp_path))
+    back = warehouse.read_star(spark, str(tmp_path), "field")
+    assert rows(back, "model", "unit") == [("007", None), ("7", "m")]
+    with pytest.raises(Exception, match="has no model"):
+        warehouse.write_star({"field": one.withColumn("model", F.lit(" "))}, str(tmp_path))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_times_are_utc(spark, zone):
+    texts = ["2024-01-01T23:30:00Z", "2024-01-01 23:30:00", "2024-01-02T07:30:00+08:00", "2024-01-01", "x", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        none = F.lit(None).cast("string")
+        days = df.select("i", labels.group_label("day", none, none, none, F.col("t")).alias("d"))
+        assert [r.d for r in days.orderBy("i").collect()] == ["2024-01-01"] * 4 + ["N/A"] * 2
+        inside = df.filter(explore.in_window(F.col("t"), ("2024-01-01", "2024-01-02")))
+        assert inside.count() == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
