@@ -381,19 +381,21 @@ def x3_fields_of_rule(spark, d):
 
 
 def x4_search(spark, d):
-    """Display names of all fields, marking the one searched for."""
+    """Display names of all fields of all models, marking the one searched for."""
     fields = part_dim(spark, d)
     name = ".<report>.[<ruleCode>=<ECONOMY>].<rawDataMetric>.[<name>=<small ring>].<rawData>.<size_11>"
-    found = explore.search_field(fields, "Brand#2", f" {name} ").select("field_id", F.lit(True).alias("found"))
-    shown = explore.with_display_name(fields).filter(F.col("model") == "Brand#2")
-    return shown.join(found, "field_id", "left").select("field_id", "field", "display_name", "found")
+    found = explore.search_field(fields, "Brand#2", f" {name} ").select(
+        F.lit("Brand#2").alias("model"), "field_id", F.lit(True).alias("found")
+    )
+    shown = explore.with_display_name(fields).join(found, ["model", "field_id"], "left")
+    return shown.select("model", "field_id", "field", "display_name", "found")
 
 
 X4_SQL = f"""WITH {PART_DIM},
 dim AS (SELECT model, field, row_number() OVER (PARTITION BY model ORDER BY field) AS field_id FROM pd)
-SELECT field_id, field, CASE WHEN field_id % 3 = 0 THEN field ELSE {_PART_NAME} END AS display_name,
- CASE WHEN contains(field, '<ECONOMY>') AND contains(field, '<small ring>') AND contains(field, '<size_11>') THEN true END AS found
-FROM dim WHERE model = 'Brand#2'"""
+SELECT model, field_id, field, CASE WHEN field_id % 3 = 0 THEN field ELSE {_PART_NAME} END AS display_name,
+ CASE WHEN model = 'Brand#2' AND contains(field, '<ECONOMY>') AND contains(field, '<small ring>') AND contains(field, '<size_11>') THEN true END AS found
+FROM dim"""
 
 
 def part_thresholds(spark, d):
@@ -478,6 +480,30 @@ rk AS (SELECT model, taskid, episode_id,
 SELECT model, taskid, episode_id FROM rk WHERE rn <= greatest(1, floor(n * 0.35))"""
 
 
+def x8_null_tasks(spark, d):
+    """Quotas where tasks are NULL, ranked in one sort and in many chunks."""
+    documents = b.document_reports(spark, d)
+    labelled = b.table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("episode_id"), F.lit(1).alias("known"))
+    episodes = documents.join(labelled.distinct(), "episode_id", "left").withColumn(
+        "taskid", F.when(F.col("known").isNotNull(), F.col("area"))
+    )
+    routes = [
+        explore.stratified_sample(episodes, 50, "n", chunk_rows=rows).withColumn("route", F.lit(name))
+        for name, rows in (("one sort", 1 << 20), ("chunks", 64))
+    ]
+    return routes[0].union(routes[1])
+
+
+X8_NULL_SQL = """WITH ep AS (
+ SELECT lang AS model, CASE WHEN l.doc_id IS NOT NULL THEN source END AS taskid,
+        CAST(d.doc_id AS VARCHAR) AS episode_id
+ FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY model, taskid ORDER BY md5('n' || episode_id), episode_id) AS rn,
+ count(*) OVER (PARTITION BY model, taskid) AS n FROM ep)
+SELECT model, taskid, episode_id, route FROM rk, (VALUES ('one sort'), ('chunks')) r(route)
+WHERE rn <= greatest(1, floor(n * 0.5))"""
+
+
 def x9_filters(spark, d):
     episodes = b.order_episodes(spark, d)
     chosen = explore.stratified_sample(episodes, 50, "s")
@@ -654,6 +680,7 @@ QUERIES |= {
     "x6_field_data": x6_field_data,
     "x7_windows": x7_windows,
     "x8_sample": x8_sample,
+    "x8_null_tasks": x8_null_tasks,
     "x9_filters": x9_filters,
     "x10_plot_values": x10_plot_values,
     "x11_index": x11_index,
@@ -676,6 +703,7 @@ SQL |= {
     "x6_field_data": X6_SQL,
     "x7_windows": X7_SQL,
     "x8_sample": X8_SQL,
+    "x8_null_tasks": X8_NULL_SQL,
     "x9_filters": X9_SQL,
     "x10_plot_values": X10_SQL,
     "x11_index": X11_SQL,

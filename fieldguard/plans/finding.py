@@ -315,8 +315,12 @@ def d7_sample(spark, d):
     reports = b.order_reports(spark, d)
     plain = F.regexp_replace("path", "_collect.json$", ".json")
     path = F.when(F.col("episode_id").cast("bigint") % 3 == 0, plain).otherwise(F.col("path"))
-    picked = discover.sample_reports(reports.withColumn("path", path))
-    return picked.select("model", "taskid", "path", F.md5("raw").isNotNull().alias("fetched"))
+    reports = reports.withColumn("path", path)
+    picked = discover.sample_reports(reports).select("model", "taskid", "path", F.md5("raw").alias("got"))
+    own = reports.select("path", F.md5("raw").alias("want"))
+    return picked.join(own, "path").select(
+        "model", "taskid", "path", F.col("got").eqNullSafe(F.col("want")).alias("fetched")
+    )
 
 
 D7_SQL = f"""WITH {sql.EP}, p AS (SELECT model, taskid, model || '/' || taskid || '/' || episode_id || '/' || episode_id
