@@ -1,8 +1,8 @@
 """N-gram Jaccard join as a grouped prefix join.
 
-A text's set holds the hashes of its distinct 3-word shingles. Sets are ordered by rarity (counts of
-all shingles of all documents in a table of fixed size, then the hash), and two sets of Jaccard
-similarity 0.9 or more must share a token of their prefixes. The join runs over groups:
+A text's set holds the hashes of its distinct 3-word shingles. Sets are ordered by rarity (the counts of
+a shingle's words over all documents, kept in a table of fixed size, then the hash), and two sets of
+Jaccard similarity 0.9 or more must share a token of their prefixes. The join runs over groups:
 
 1. texts with equal sets become one class, classes with identical prefix and size one group;
 2. groups meet by prefix token. Each group is first paired with the hub it shares most tokens with,
@@ -21,6 +21,7 @@ and links with nothing; rows that share a doc_id are one document, linked by all
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,44 +34,56 @@ from fieldguard.llm.graph import components
 from fieldguard.session import settle
 
 SHINGLE, PERCENT = 3, 90
-# Counts of shingles by hash; a fixed size, whatever the corpus.
-CELLS = 1 << 20
+# Counts of words by hash; a fixed size, whatever the corpus.
+CELL_BITS = 20
+CELLS = 1 << CELL_BITS
 _SLICES = 16
-_PIECE = 8 << 20
+_PIECE = 4 << 20
 _SETS = "id long, n long, one long, two long, prefix array<long>, bits array<long>"
 
 
-def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Document number and hash of every shingle; a text of fewer words is one shingle."""
+def shingles(
+    texts: pa.Array, size: int, rare: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Document, hash and rank of every shingle, and the number of texts.
+
+    A text of fewer words is one shingle. The rank adds the rarity classes of a shingle's words: the
+    lower, the less likely the shingle is to occur.
+    """
     found = W.find_words(*W.text_arrays(texts), W.SPACED, W.LOWER)
-    places = np.flatnonzero(W.same_text(found, size))
-    docs, hashes = [found.doc[places]], [W.rolling(found.hash, size)[places]]
-    for k in range(1, size):
-        short = np.flatnonzero(found.counts == k)
-        if len(short):
-            docs.append(short)
-            hashes.append(W.rolling(found.hash, k)[found.first[short]])
-    return np.concatenate(docs), np.concatenate(hashes), len(found.counts)
+    each = np.zeros(len(found.hash), np.uint16)
+    if rare is not None:
+        each = rare[_cell(found.hash)].astype(np.uint16)
+    docs, hashes, ranks = [], [], []
+    for k in range(size, 0, -1):
+        if k == size:
+            places = np.flatnonzero(W.same_text(found, k))
+        else:
+            places = found.first[np.flatnonzero(found.counts == k)]
+        if len(places):
+            docs.append(found.doc[places])
+            hashes.append(W.rolling(found.hash, k)[places])
+            ranks.append(sum(each[places + i] for i in range(k)))
+    if not docs:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint16), len(found.counts)
+    return np.concatenate(docs), np.concatenate(hashes), np.concatenate(ranks), len(found.counts)
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(44)).astype(np.int64)
-
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-def tally(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
-        for batch in W.pieces(batches, limit=_PIECE):
-            _, hashes, _ = shingles(batch.column("text"), size)
-            counts += np.bincount(_cell(hashes), minlength=CELLS)
-        if counts.any():
-            press = zstandard.ZstdCompressor(level=1).compress
-            parts = [press(x.tobytes()) for x in np.split(counts, _SLICES)]
-            yield pa.RecordBatch.from_pydict(
-                {"slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())}
-            )
 
-    return run
+def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in W.pieces(batches, limit=_PIECE):
+        found = W.find_words(*W.text_arrays(batch.column("text")), W.SPACED, W.LOWER)
+        counts += np.bincount(_cell(found.hash), minlength=CELLS)
+    if counts.any():
+        press = zstandard.ZstdCompressor(level=1).compress
+        parts = [press(x.tobytes()) for x in np.split(counts, _SLICES)]
+        yield pa.RecordBatch.from_pydict(
+            {"slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())}
+        )
 
 
 def _add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,15 +97,15 @@ def _add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Itera
     )
 
 
-def rarity(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """Rarity class of each cell: the logarithm of its count over all documents (1 MB)."""
-    parts = docs.select("text").mapInArrow(tally(size), "slice int, counts binary")
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Rarity class of each cell of words: the logarithm of its count over all documents (1 MB)."""
+    parts = docs.select("text").mapInArrow(tally, "slice int, counts binary")
     summed = parts.groupBy("slice").applyInArrow(_add, "slice int, counts binary").collect()
     counts = np.zeros(CELLS, np.int64)
     for i, blob in summed:
         at = CELLS // _SLICES * i
         counts[at : at + CELLS // _SLICES] = np.frombuffer(blob, np.int64)
-    return np.log2(counts + 1).astype(np.uint8)
+    return (4 * np.log2(counts + 1)).astype(np.uint8)
 
 
 def sets(classes, size: int, percent: int):
@@ -101,8 +114,8 @@ def sets(classes, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = classes.value
         for batch in W.pieces(batches, limit=_PIECE):
-            doc, hashes, count = shingles(batch.column("text"), size)
-            order = np.lexsort((hashes, rare[_cell(hashes)], doc))
+            doc, hashes, rank, count = shingles(batch.column("text"), size, rare)
+            order = np.lexsort((hashes, rank, doc))
             doc, hashes = doc[order], hashes[order]
             new = np.ones(len(doc), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
@@ -146,9 +159,7 @@ def check_pairs(size: int, percent: int):
         last: tuple = (None, None)
 
         def shingle_set(blob: bytes) -> np.ndarray:
-            # Words as they are, not hashes of shingles alone: the sequence of a shingle's words.
-            _, hashes, _ = shingles(pa.array([expand(blob).decode()], pa.string()), size)
-            return np.unique(hashes)
+            return np.unique(shingles(pa.array([expand(blob).decode()], pa.string()), size)[1])
 
         for batch in batches:
             kept = []
@@ -206,6 +217,10 @@ def _differ(x: Column, y: Column) -> Column:
     return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(8)), start=F.lit(0))
 
 
+def _xor(columns: list[Column]) -> Column:
+    return reduce(lambda x, y: x.bitwiseXOR(y), columns)
+
+
 def _near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that sizes and bitmaps allow."""
     one = members.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
@@ -221,7 +236,7 @@ def link_components(
     """doc_id, n_shingles, component_id (least doc_id reachable), class_id (least with an equal set)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    classes = spark.sparkContext.broadcast(rarity(docs, size))
+    classes = spark.sparkContext.broadcast(rarity(docs))
     rows = settle(docs.mapInArrow(sets(classes, size, percent), _SETS))
     full = rows.where("id IS NOT NULL AND n > 0")
 
@@ -232,8 +247,10 @@ def link_components(
     members = members.select("one", "two", "n", "x.id", "x.prefix", "x.bits")
     members = settle(members.withColumn("grp", F.xxhash64("prefix", "n")))
     groups = members.groupBy("grp", "n").agg(F.min(F.struct("id", "prefix")).alias("x"))
-    groups = groups.select("grp", "n", "x.id", "x.prefix")
-    postings = groups.select("grp", "id", "n", F.posexplode("prefix").alias("pos", "token"))
+    # A group goes by its first class. Dealt by token once, for the count and for the join with it.
+    postings = groups.select(
+        F.col("x.id").alias("id"), F.col("n").cast("int").alias("n"), F.posexplode("x.prefix").alias("pos", "token")
+    ).repartition("token")
     shared = postings.groupBy("token").agg(
         F.min(F.struct("id", F.col("n").alias("m"), F.col("pos").alias("at"))).alias("hub"),
         F.count("*").alias("c"),
@@ -256,36 +273,47 @@ def link_components(
     links = settle(verified(stars, docs, size, percent))
     found = settle(components(links))
 
-    # What is still apart: classes of the live groups, by token and by group.
-    entries = live.select("token", "grp", "n", "pos").join(
-        members.select("grp", "n", "id", "bits"), ["grp", "n"]
+    # What is still apart: classes of the live groups, by token and by group. The bitmaps travel folded.
+    heads = members.groupBy("grp", "n").agg(F.min("id").alias("head"))
+    fold = lambda k: _xor([F.col("bits")[i] for i in range(k, 8, 2)])
+    cls = members.join(heads, ["grp", "n"]).join(found.withColumnRenamed("vertex", "id"), "id", "left")
+    cls = settle(
+        cls.select(
+            "head", "id", "n", F.coalesce("component", "id").alias("component"),
+            fold(0).alias("even"), fold(1).alias("odd"),
+        )
+    )
+    entries = live.select("token", F.col("id").alias("head"), "pos").join(cls, "head")
+    alone = cls.join(several.select(F.col("a").alias("head")).distinct(), "head", "left_semi")
+    entries = entries.unionByName(
+        alone.withColumn("token", F.xxhash64("head")).withColumn("pos", F.lit(0))
     )
-    alone = several.select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos"), F.col("b").alias("id"))
-    alone = alone.join(members.select("id", "bits"), "id").select(entries.columns)
-    entries = entries.union(alone).join(
-        found.withColumnRenamed("vertex", "id"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
+    entries = entries.select(
+        "token", "id", F.col("n").cast("int").alias("n"), "pos", "component", "even", "odd"
+    ).repartition("token")
     weight = entries.groupBy("token", "component").agg(F.count("*").alias("c"))
     main = weight.groupBy("token").agg(
         F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")
     )
     main = main.where("kinds > 1").select("token", F.col("x.component").alias("main"))
-    entries = settle(entries.join(main, "token"))
-    one = entries.where("component <> main").alias("p")
-    two = entries.alias("q")
+    apart = entries.join(main, "token")
+    one = apart.where("component <> main").alias("p")
+    two = apart.alias("q")
     p, q = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"q.{c}"))
     sizes, needs = _similar(percent, p("n"), q("n"))
     reach = _reach(p("n"), p("pos"), q("n"), q("pos"))
-    near = one.join(
+    differ = sum((F.bit_count(p(c).bitwiseXOR(q(c))) for c in ("even", "odd")), start=F.lit(0))
+    met = one.join(
         two,
         (p("token") == q("token"))
         & (p("component") != q("component"))
         & ((q("component") == q("main")) | (p("id") < q("id")))
         & sizes
         & (reach >= needs)
-        & (_differ(p("bits"), q("bits")) <= p("n") + q("n") - 2 * needs),
+        & (differ <= p("n") + q("n") - 2 * needs),
     )
-    pairs = near.select(p("id").alias("a"), q("id").alias("b")).distinct()
+    pairs = met.select(p("id").alias("a"), q("id").alias("b")).distinct()
+    pairs = _near(pairs, members, percent).select("a", "b")
     # A pair tried as a star and refused need not be tried again.
     tried = stars.union(stars.select("b", "a"))
     pairs = pairs.join(tried, ["a", "b"], "left_anti")
