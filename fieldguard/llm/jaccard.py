@@ -8,8 +8,9 @@ Jaccard similarity 0.9 or more must share a token of their prefixes. The join ru
 2. groups meet by prefix token. Each group is first paired with the hub it shares most tokens with,
    each class with its group's first class: as many pairs as groups and classes, not their square;
 3. classes still in different components are expanded from their groups and paired by token under
-   the length, positional and bitmap bounds. All of these are verified, so no link that could join
-   two components is missed, while copies that are connected already never meet again.
+   the length, positional and bitmap bounds; the number of prefix tokens they share must fit their
+   sizes. All that is left is verified, so no link that could join two components is missed, while
+   copies that are connected already never meet again.
 
 Verification compares the real shingles of both texts. The bitmap holds the parity of the elements
 in each of 512 cells, so two bitmaps differ in at most as many cells as the sets have differences.
@@ -34,6 +35,10 @@ from fieldguard.llm.graph import components
 from fieldguard.session import settle
 
 SHINGLE, PERCENT = 3, 90
+# Prefixes grow by one token for so many elements, and similar sets then share one more for each.
+SHARED = 50
+# The place that stands for a whole prefix where classes of one group meet.
+SAME_PREFIX = -1
 # Counts of words by hash; a fixed size, whatever the corpus.
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
@@ -124,7 +129,7 @@ def sets(classes, size: int, percent: int):
             first = np.concatenate([[0], np.cumsum(n)])
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(W.mix(hashes ^ np.uint64(c)))]) for c in (7, 0xABCDEF)]
             one, two = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-            keep = n - (percent * n + 99) // 100 + (n > 0)
+            keep = np.minimum(n, n - (percent * n + 99) // 100 + 1 + n // SHARED)
             inside = np.arange(len(doc)) - first[doc] < keep[doc]
             cuts = np.concatenate([[0], np.cumsum(keep)])
             prefix = pa.ListArray.from_arrays(
@@ -286,7 +291,7 @@ def link_components(
     entries = live.select("token", F.col("id").alias("head"), "pos").join(cls, "head")
     alone = cls.join(several.select(F.col("a").alias("head")).distinct(), "head", "left_semi")
     entries = entries.unionByName(
-        alone.withColumn("token", F.xxhash64("head")).withColumn("pos", F.lit(0))
+        alone.withColumn("token", F.xxhash64("head")).withColumn("pos", F.lit(SAME_PREFIX))
     )
     entries = entries.select(
         "token", "id", F.col("n").cast("int").alias("n"), "pos", "component", "even", "odd"
@@ -301,6 +306,7 @@ def link_components(
     two = apart.alias("q")
     p, q = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"q.{c}"))
     sizes, needs = _similar(percent, p("n"), q("n"))
+    together = (p("pos") == SAME_PREFIX) & (q("pos") == SAME_PREFIX)
     reach = _reach(p("n"), p("pos"), q("n"), q("pos"))
     differ = sum((F.bit_count(p(c).bitwiseXOR(q(c))) for c in ("even", "odd")), start=F.lit(0))
     met = one.join(
@@ -309,10 +315,19 @@ def link_components(
         & (p("component") != q("component"))
         & ((q("component") == q("main")) | (p("id") < q("id")))
         & sizes
-        & (reach >= needs)
+        & (together | (reach >= needs))
         & (differ <= p("n") + q("n") - 2 * needs),
     )
-    pairs = met.select(p("id").alias("a"), q("id").alias("b")).distinct()
+    # A pair comes once for each token it shares; classes of one group share their whole prefix.
+    counted = met.groupBy(
+        F.least(p("id"), q("id")).alias("a"), F.greatest(p("id"), q("id")).alias("b")
+    ).agg(
+        F.count("*").alias("c"),
+        F.max(together).alias("together"),
+        F.min(F.least(p("n"), q("n"))).alias("n"),
+    )
+    pairs = counted.where(F.col("together") | (F.col("c") >= 1 + F.floor(F.col("n") / SHARED)))
+    pairs = pairs.select("a", "b")
     pairs = _near(pairs, members, percent).select("a", "b")
     # A pair tried as a star and refused need not be tried again.
     tried = stars.union(stars.select("b", "a"))
