@@ -30,11 +30,11 @@ from pyspark.sql import types as T
 from fieldguard.llm import words as W
 
 LEAF = 16_384
-_PIECE = 3 << 20
+_PIECE = 2 << 20
 # Words kept between pieces of a task; then the memory starts anew.
-_REMEMBERED = 150_000
+_REMEMBERED = 50_000
 _LONG_WORD = 64
-_TOKENS_AT_ONCE = 1 << 19
+_TOKENS_AT_ONCE = 1 << 18
 _SPACE = re.compile(r"[\t-\r ]")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -188,17 +188,21 @@ def _cut(leaf: int):
     return run
 
 
-def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encoded parts, compressed for the shuffle."""
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        others = [n for n in batch.schema.names if n not in ("text", "ids")]
-        texts = [pack(x.encode()) for x in batch.column("text").to_pylist()]
-        ids = [pack(x.values.to_numpy().tobytes()) for x in batch.column("ids")]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.select(others).columns, pa.array(texts, pa.binary()), pa.array(ids, pa.binary())],
-            names=[*others, "_text", "_ids"],
-        )
+def _encode_parts(file_text, columns: list[str]):
+    """Parts of texts with their ids, both compressed for the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, pack = Encoder.of(file_text.value), zstandard.ZstdCompressor(level=3).compress
+        for batch in W.pieces(batches, limit=_PIECE):
+            ids, ends = encoder.batch(batch.column("text"))
+            said = [pack(x.encode()) for x in batch.column("text").to_pylist()]
+            made = [pack(ids[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(columns).columns, pa.array(said, pa.binary()), pa.array(made, pa.binary())],
+                names=[*columns, "_text", "_ids"],
+            )
+
+    return run
 
 
 def _join_parts(file_text, kept: list[str]):
@@ -240,9 +244,8 @@ def encode(
     long = long.select(*kept, "_row", "text")
     parts = long.mapInArrow(_cut(leaf), T.StructType([*row, number, part, text]))
     parts = parts.repartition("_row", "_part").mapInArrow(
-        _encode(file_text, [*kept, "_row", "_part", "text"]), T.StructType([*row, number, part, text, ids])
+        _encode_parts(file_text, [*kept, "_row", "_part"]), T.StructType([*row, number, part, *packed])
     )
-    parts = parts.mapInArrow(_press, T.StructType([*row, number, part, *packed]))
     joined = parts.groupBy("_row").applyInArrow(_join_parts(file_text, kept), T.StructType([*row, ids]))
     made = encoded.unionByName(joined)
     return made.select(*[F.col(c).alias(c[1:]) for c in kept], "ids")

@@ -161,3 +161,5 @@ def pieces(
             to = min(batch.num_rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
+        del batch, offsets
+        pa.default_memory_pool().release_unused()
