@@ -21,6 +21,8 @@ from fieldguard.session import shared_dir
 from fieldguard.sources.bindings import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Near copies of the stage: words of a shingle, and the Jaccard similarity that links. The op5 query has its own.
+SHINGLE, PERCENT = 5, 80
 # The trained models have no SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
@@ -34,7 +36,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the least doc_id stays."""
-    linked = jaccard.link_components(docs)
+    linked = jaccard.link_components(docs, SHINGLE, PERCENT)
     # Documents in components of their own are named by their own id.
     others = linked.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
