@@ -1,8 +1,8 @@
 """Personal data: exact patterns plus a semi-Markov conditional random field.
 
 Base spans come from fixed patterns (leftmost, per kind, with digit counts, Luhn and byte checks, no
-second tries). The field then looks at regions around digits and addresses: candidate segments of up
-to ``LONGEST`` tokens are scored by features of the whole span (its shape, its digits, whether a card
+second tries). The field then looks at regions around digits and the signs of addresses ("@", "dot", a
+bracketed "at"): candidate segments of up to ``LONGEST`` tokens are scored by features of the whole span (its shape, its digits, whether a card
 number's sum holds, what stands before and after), and dynamic programming over all segmentations of
 the region picks boundaries and kinds together, with entities of bounded length. It adds what
 patterns miss: numbers that run into each other, phones without a plus, spelled-out addresses.
@@ -98,21 +98,25 @@ class Region:
 
 
 def regions(text: str, around: int = AROUND) -> list[Region]:
-    """Runs of tokens near a digit or address sign, each with some tokens on both sides."""
+    """Runs of tokens near a digit or address sign, each with some tokens on both sides.
+
+    A bracketed "at" has as many as an entity may have: the address around it may hold no other cue.
+    """
     tokens = [(m[0], *m.span()) for m in _TOKEN.finditer(text)]
-    marked = [i for i, (x, _, _) in enumerate(tokens) if x[0] in "0123456789@" or x.lower() == "dot"]
-    out: list[Region] = []
-    low = high = None
-    for i in marked:
-        if low is None:
-            low = max(0, i - around)
-        elif i - around > high:
-            out.append(Region(tokens[low:high]))
-            low = i - around
-        high = min(len(tokens), i + around + 1)
-    if low is not None:
-        out.append(Region(tokens[low:high]))
-    return out
+    runs: list[tuple[int, int]] = []
+    for i, (x, _, _) in enumerate(tokens):
+        if x[0] in "0123456789@" or x.lower() == "dot":
+            reach = around
+        elif x.lower() == "at" and 0 < i < len(tokens) - 1 and tokens[i - 1][0] in "[({" and tokens[i + 1][0] in "])}":
+            reach = LONGEST
+        else:
+            continue
+        low, high = max(0, i - reach), min(len(tokens), i + reach + 1)
+        while runs and low <= runs[-1][1]:
+            before = runs.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        runs.append((low, high))
+    return [Region(tokens[low:high]) for low, high in runs]
 
 
 def _shape(said: str) -> str:
@@ -375,7 +379,7 @@ def _window(text: str, spans: list[Span], around: int = 200) -> list[tuple[str,
 
 
 def has_cue(texts: pa.Array) -> np.ndarray:
-    return pc.match_substring_regex(pc.fill_null(texts, ""), r"[0-9@]|\b[dD][oO][tT]\b").to_numpy(zero_copy_only=False)
+    return pc.match_substring_regex(pc.fill_null(texts, ""), r"[0-9@]|\b[dD][oO][tT]\b|[\[({]\W?[aA][tT]\W?[\])}]").to_numpy(zero_copy_only=False)
 
 
 def learn(docs: DataFrame, limit: int = TRAIN_DOCS) -> Field:
