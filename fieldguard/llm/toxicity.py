@@ -4,7 +4,8 @@ A writer who hides a word sends it through a channel: letters become look-alike
 repeated, or are set apart by spaces and dots. ``restore`` finds the places where that may have
 happened, builds the lattice of what each character may stand for, and decodes it with Viterbi under
 a character language model (4-grams, counted over all documents). The restored text is then scored
-by a logistic model of the words it holds.
+by a logistic model of the words it holds. Signs that plain text has as well (a letter doubled once,
+a sign at a word's end, three spaced letters, wide blanks) add the decoded reading to the words as they stand.
 
 The language model is a table of fixed size. The word model is fitted on at most ``TRAIN_ROWS`` labelled
 rows (those with the least hash of their id), never on held-out ones; its features are the at most
@@ -17,6 +18,7 @@ repeats score alike; a null doc_id counts as held out; labels that are null teac
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,9 +46,13 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
 SEPARATORS = " .-_*~"
+# What may follow a word: look-alikes among it, and what is punctuation only.
+CLOSERS, PUNCTUATION = "!*$%&#.,:;?)\"'|+~-_", ".,;:?\"'()[]{}"
 # Costs in nats: a look-alike, a dropped repeat, a dropped separator, a kept one, a dropped sign.
 SWAP, REPEAT, APART, BREAK, NOISE = 0.7, 0.4, 0.2, 2.0, 3.0
 _STATES = 64
+_CONTEXTS = LETTERS**3
+_START = (EDGE * LETTERS + EDGE) * LETTERS + EDGE
 
 
 def _set(*chars: str) -> np.ndarray:
@@ -118,19 +124,19 @@ def language_model(docs: DataFrame) -> np.ndarray:
 # ---- decoding
 
 
-def _options(text: str, i: int) -> list[tuple[str, float]]:
+def _options(text: str, i: int, repeat: float = REPEAT) -> list[tuple[str, float]]:
     """What the character may stand for, and the channel's cost; the empty string drops it."""
     c = text[i]
     if "a" <= c <= "z":
         again = i > 0 and text[i - 1] == c
-        return [(c, 0.0), ("", REPEAT)] if again else [(c, 0.0)]
+        return [(c, 0.0), ("", repeat)] if again else [(c, 0.0)]
     out = [(x, SWAP) for x in LOOKS_LIKE.get(c, "")]
     if c in SEPARATORS:
         out += [("", APART), (" ", BREAK)]
         if c == "*":
             out += [(x, math.log(26)) for x in _ALPHA]
     elif c in LOOKS_LIKE:
-        out += [("", NOISE if i == 0 or text[i - 1] != c else REPEAT), (" ", BREAK + SWAP)]
+        out += [("", NOISE if i == 0 or text[i - 1] != c else repeat), (" ", BREAK + SWAP)]
     else:
         out.append((c, 0.0))
     return out
@@ -142,28 +148,38 @@ def _letter(c: str) -> int:
     return OTHER if c.isalpha() else EDGE
 
 
-def decode(said: str, model: np.ndarray) -> str:
-    """The likeliest text behind an obfuscated one: Viterbi over the lattice of its characters."""
+def decode(said: str, model: list[float], repeat: float = REPEAT) -> str:
+    """The likeliest text behind an obfuscated one: Viterbi over the lattice of its characters.
+
+    ``model``: the language model's costs as a flat list.
+    """
     text = said.lower()
-    # By the last three letters: cost, and the letters so far as a chain.
-    states: dict[tuple, tuple[float, tuple | None]] = {(EDGE, EDGE, EDGE): (0.0, None)}
+    # By the last three letters, as one number: cost, and the letters so far as a chain.
+    states: dict[int, tuple[float, tuple | None]] = {_START: (0.0, None)}
+    tail = len(text.rstrip(SEPARATORS))
     for i in range(len(text)):
-        options = [(x, cost, _letter(x) if x else -1) for x, cost in _options(text, i)]
-        after: dict[tuple, tuple[float, tuple | None]] = {}
+        options = [(x, cost, _letter(x) if x else -1) for x, cost in _options(text, i, repeat)]
+        limit = math.inf
+        if i >= tail:  # a path that costs more than dropping all the rest can't be the best
+            rest = APART * (len(text) - i) + 1e-6
+            limit = min([cost + rest + model[c * LETTERS + EDGE] for c, (cost, _) in states.items()])
+        after: dict[int, tuple[float, tuple | None]] = {}
         for context, (cost, chain) in states.items():
-            costs = model[context]
+            row = context * LETTERS
             for x, channel, code in options:
                 if code < 0:
                     key, now, link = context, cost + channel, chain
                 else:
-                    key = (context[1], context[2], code)
-                    now, link = cost + channel + float(costs[code]), (x, chain)
+                    key = (row + code) % _CONTEXTS
+                    now, link = cost + channel + model[row + code], (x, chain)
+                if now > limit:
+                    continue
                 if key not in after or now < after[key][0]:
                     after[key] = (now, link)
         if len(after) > _STATES:
             after = dict(sorted(after.items(), key=lambda s: s[1][0])[:_STATES])
         states = after
-    chain = min(states.items(), key=lambda s: s[1][0] + float(model[s[0]][EDGE]))[1][1]
+    chain = min(states.items(), key=lambda s: s[1][0] + model[s[0] * LETTERS + EDGE])[1][1]
     out = []
     while chain is not None:
         x, chain = chain
@@ -171,8 +187,12 @@ def decode(said: str, model: np.ndarray) -> str:
     return "".join(reversed(out))
 
 
+# How a byte run may be obfuscated: as plain text never is, as plain text may be too, by spacing.
+SURE, MAYBE, SPELLED = 0, 1, 2
+
+
 def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, start and end of the byte runs that may be obfuscated."""
+    """Start, end and kind of the byte runs that may be obfuscated."""
     found = W.find_words(data, offsets, W.SPACED)
     n = len(data)
     letter, sign, digit = _IS_LETTER[data], _IS_SIGN[data], _IS_DIGIT[data]
@@ -197,55 +217,79 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     next_same[:-1] = lowered[1:] == lowered[:-1]
     repeated = letter & next_same & ahead(next_same, 1)
     spelled = (begins | behind(apart)) & letter & ahead(apart, 1) & ahead(letter, 2) & ahead(apart, 3) & ahead(letter, 4)
-    marks = np.concatenate([[0], np.cumsum(inner | closing | repeated | spelled)])
-    marked = (marks[found.end] > marks[found.start])
+    signed = sign & (behind(letter) | behind(sign))
+
+    def held(x: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(x)])
+        return sums[found.end] > sums[found.start]
+
+    sure = held(inner | closing | repeated | spelled)
+    maybe = held((letter & next_same) | signed) & held(letter)
     # A mark belongs to the word it begins in, and must not reach past it: texts may touch.
     single = (found.end - found.start == 1) & letter[found.start]
     joins = np.zeros(len(single), bool)
-    joins[1:] = single[1:] & single[:-1] & (found.doc[1:] == found.doc[:-1]) & (found.start[1:] - found.end[:-1] <= 2)
+    gap = found.start[1:] - found.end[:-1]
+    blanks = np.concatenate([[0], np.cumsum(data == 0x20)])
+    blank = blanks[found.start[1:]] - blanks[found.end[:-1]] == gap
+    joins[1:] = single[1:] & single[:-1] & (found.doc[1:] == found.doc[:-1]) & ((gap <= 2) | blank)
     head = np.flatnonzero(single & ~joins)
     run = np.cumsum(single & ~joins)
     lengths = np.bincount(run[single], minlength=len(head) + 1)[1:] if len(head) else np.empty(0, np.int64)
-    spaced = head[lengths >= 4]
-    spaced_end = spaced + lengths[lengths >= 4] - 1
+    spaced = head[lengths >= 3]
+    spaced_end = spaced + lengths[lengths >= 3] - 1
     inside = np.zeros(len(single) + 1, np.int64)
     np.add.at(inside, spaced, 1)
     np.add.at(inside, spaced_end + 1, -1)
-    alone = np.flatnonzero(marked & (np.cumsum(inside)[:-1] == 0))
-    doc = np.concatenate([found.doc[alone], found.doc[spaced]])
+    alone = np.flatnonzero((sure | maybe) & (np.cumsum(inside)[:-1] == 0))
+    kind = np.concatenate([np.where(sure[alone], SURE, MAYBE), np.full(len(spaced), SPELLED)])
     start = np.concatenate([found.start[alone], found.start[spaced]])
     end = np.concatenate([found.end[alone], found.end[spaced_end]])
     order = np.argsort(start, kind="stable")
-    return doc[order], start[order], end[order]
+    return start[order], end[order], kind[order]
 
 
 class Restorer:
     def __init__(self, model: np.ndarray):
-        self.model = model
-        self.known: dict[bytes, bytes] = {}
+        self.model = model.ravel().tolist()
+        self.known: dict[tuple[bytes, int], bytes] = {}
+
+    def readings(self, text: str, kind: int) -> list[str]:
+        if kind == SPELLED:
+            parts = re.split("( {3,})", text)
+            first = "".join([decode(x, self.model) if len(x.split()) >= 4 else x for x in parts])
+            return [first] if len(parts) == 1 and first != text else [first, decode(text, self.model)]
+        core, whole = text.rstrip(CLOSERS), text.rstrip(PUNCTUATION)
+        out = [decode(core, self.model) + text[len(core) :]]
+        if kind == MAYBE:
+            out.insert(0, text)
+        if kind == MAYBE or len(whole) > len(core):
+            # A sign at the end may be a letter, and what is there twice may be meant twice.
+            if len(whole) > len(core):
+                out.append(decode(whole, self.model))
+            out.append(decode(whole, self.model, NOISE))
+        return out
 
-    def one(self, said: bytes) -> bytes:
-        out = self.known.get(said)
+    def one(self, said: bytes, kind: int) -> bytes:
+        """The readings of a suspect, each once."""
+        out = self.known.get((said, kind))
         if out is None:
-            text = said.decode()
-            core = text.rstrip("".join(c for c in "!*$%&#.,;:?)\"'|+~-_" ))
-            out = (decode(core, self.model) + text[len(core) :]).encode()
+            out = " ".join(dict.fromkeys(self.readings(said.decode(), kind))).encode()
             if len(said) <= 40:
                 if len(self.known) > 100_000:
                     self.known.clear()
-                self.known[said] = out
+                self.known[said, kind] = out
         return out
 
     def restore(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and offsets of the restored texts."""
         data, offsets = W.text_arrays(texts)
-        _, start, end = suspects(data, offsets)
+        start, end, kinds = suspects(data, offsets)
         if not len(start):
             return data, offsets
         raw, parts, at = data.tobytes(), [], 0
         grown = np.zeros(len(start), np.int64)
-        for i, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-            new = self.one(raw[a:b])
+        for i, (a, b, kind) in enumerate(zip(start.tolist(), end.tolist(), kinds.tolist(), strict=True)):
+            new = self.one(raw[a:b], kind)
             parts += [raw[at:a], new]
             grown[i], at = len(new) - (b - a), b
         parts.append(raw[at:])
