@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import bpe, chat, decontaminate, jaccard, pii, sharding, substring, topk, toxicity, warc
+from fieldguard.llm import align, bpe, chat, decontaminate, jaccard, pii, sharding, substring, topk, toxicity, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -179,10 +179,10 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law,
 FROM crc JOIN ranked ON crc.v = ranked.v JOIN deal ON deal.nth = ranked.nth"""
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @_query
@@ -269,3 +269,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(said("base"), 256).alias("base_sha256"),
         said("spans").alias("spans"),
     )
+
+
+@_query
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align.link_statistics(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
