@@ -12,7 +12,8 @@ links with the number of their piece (a few MB of texts); the distinct pairs of
 and looked up by a join on the pair and return to their piece, so no count table is ever in one place.
 
 Token bytes: A's entry decoded from the byte-level alphabet; B's piece with U+2581 as space and <0xHH>
-as a byte. Defined results: texts that are null, empty, or that either tokenizer does not give back
+as a byte. Chunks between spaces are encoded once a piece, where the vocabularies never join over a space.
+Defined results: texts that are null, empty, or that either tokenizer does not give back
 byte for byte have no tokens; strings of special tokens inside texts are plain text; repeated rows are
 documents of their own and all count; null ids are kept; an empty table gives an empty table; columns
 besides doc_id and text are left out, so their names cannot clash. A text is one row of one task, however long.
@@ -21,8 +22,10 @@ besides doc_id and text are left out, so their names cannot clash. A text is one
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,19 @@ from fieldguard.session import settle
 # Bytes of text whose distinct pairs are looked up together, and bytes encoded in one call.
 PIECE, _CALL = 4 << 20, 256 << 10
 _SPACE_MARK = "▁"
+# Chunks whose ids a task remembers.
+_REMEMBERED = 100_000
+
+
+def _but(*codes: int) -> np.ndarray:
+    found = np.ones(256, bool)
+    found[list(codes)] = False
+    return found
+
+
+# Bytes before a cut, and bytes after its space: no white space (first bytes of Unicode's white space neither).
+_VISIBLE = _but(*range(0x21), 0x7F)
+_FOLLOWS = _VISIBLE & _but(0xC2, 0xE1, 0xE2, 0xE3)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -71,6 +87,14 @@ class Pair:
             for i, x in enumerate(named)
         ]
         self.size_b = size_b
+        self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
+        pattern = json.loads(file_a)
+        self.cuttable = (
+            pattern.get("normalizer") is None
+            and (pattern.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+            and (pattern.get("pre_tokenizer") or {}).get("use_regex", True)
+            and not any(_SPACE_MARK in x.lstrip(_SPACE_MARK) for x in named)
+        )
         self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.large_binary()), pa.array(bytes_b, pa.large_binary())
         self.long_a, self.long_b = (np.array([len(x) for x in xs], np.int64) for xs in (bytes_a, bytes_b))
         # Decimal ids with the sign that follows: inside a group, and at the end of its side.
@@ -81,10 +105,89 @@ class Pair:
         )
         self.first_spelled = (0, count, 2 * count, 2 * count + size_b)
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        a = self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)
-        ids_a = [np.array(x.ids, np.int64) for x in a]
-        return ids_a, [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
+    def cut(self, data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Chunks of texts (each with its leading space) that both tokenizers encode apart, and their texts.
+
+        A chunk begins at a space after visible and before other than white space. There the byte-level
+        pattern always begins a new word, and no piece of B runs on over a space. ``whole``: texts not to cut.
+        """
+        begins = np.zeros(len(data), bool)
+        if self.cuttable and len(data) > 2:
+            begins[1:-1] = (data[1:-1] == 0x20) & _VISIBLE[data[:-2]] & _FOLLOWS[data[2:]]
+        for i in np.flatnonzero(whole):
+            begins[offsets[i] : offsets[i + 1]] = False
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        start = np.flatnonzero(begins)
+        text = np.searchsorted(offsets[1:], start, side="right")
+        ends = np.append(start, len(data)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return chunks, text
+
+    def one(self, chunk: bytes) -> tuple[bytes, bytes] | None:
+        """A's and B's ids; None if a tokenizer does not give the chunk back."""
+        said = chunk.decode()
+        a = np.array(self.a.encode(said, add_special_tokens=False).ids, np.int32)
+        b = np.array(self.b.encode(said[1:]), np.int32)
+        same = joined(self.bytes_a, a) == chunk == joined(self.bytes_b, b)
+        return (a.tobytes(), b.tobytes()) if same else None
+
+    def learn(self, chunks: list[bytes]) -> None:
+        """Encode chunks that are not known: those of the usual form many in one call."""
+        usual = [c for c in chunks if len(c) > 1 and _FOLLOWS[c[1]] and _VISIBLE[c[-1]]]
+        at = 0
+        while at < len(usual):
+            sizes = np.cumsum([len(c) for c in usual[at : at + 50_000]])
+            to = at + max(1, int(np.searchsorted(sizes, _CALL, side="right")))
+            part, said, ends = usual[at:to], b"".join(usual[at:to]), sizes[: to - at]
+            text = said.decode()
+            sides = []
+            for ids, table, long in (
+                (self.a.encode(text, add_special_tokens=False).ids, self.bytes_a, self.long_a),
+                (self.b.encode(text[1:]), self.bytes_b, self.long_b),
+            ):
+                ids = np.array(ids, np.int32)
+                token_ends = np.cumsum(long[ids])
+                cuts = np.searchsorted(token_ends, ends)
+                if joined(table, ids) != said or not np.array_equal(token_ends[cuts], ends):
+                    break
+                raw, cuts = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+                sides.append([raw[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)])
+            if len(sides) == 2:
+                self.known.update(zip(part, zip(*sides, strict=True), strict=True))
+            at = to
+        for c in chunks:
+            if c not in self.known:
+                self.known[c] = self.one(c)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all texts one after the other, and where each text begins among them."""
+        data, offsets = W.text_arrays(pa.array([" " + x if x else "" for x in texts], pa.large_string()))
+        data = np.ascontiguousarray(data)
+        whole = np.zeros(len(texts), bool)
+        while True:
+            chunks, text = self.cut(data, offsets, whole)
+            coded = chunks.dictionary_encode()
+            distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            if len(self.known) > _REMEMBERED:  # the oldest go
+                self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            self.learn([c for c in distinct if c not in self.known])
+            made = [self.known[c] for c in distinct]
+            lost = np.zeros(len(texts), bool)
+            lost[text[np.array([x is None for x in made], bool)[which]]] = True
+            if not (lost & ~whole).any():
+                break
+            whole |= lost  # a chunk is not given back: the whole text decides
+        kept = ~lost[text]
+        flat = []
+        for side in (0, 1):
+            ids = [b"" if x is None else x[side] for x in made]
+            size = np.array([len(x) // 4 for x in ids], np.int64)
+            first = np.cumsum(size) - size
+            picked = which[kept]
+            tokens = np.frombuffer(b"".join(ids), np.int32).astype(np.int64)[_spread(first[picked], size[picked])]
+            per_text = np.bincount(text[kept], size[picked], minlength=len(texts)).astype(np.int64)
+            flat += [tokens, np.concatenate([[0], np.cumsum(per_text)])]
+        return tuple(flat)
 
 
 def joined(table: pa.Array, ids: np.ndarray) -> memoryview:
@@ -102,49 +205,50 @@ def runs(ends_a: list[int], ends_b: list[int]):
 
     ``ends_a`` and ``ends_b`` rise strictly and end at the same place.
     """
-    stretches: tuple[list[int], ...] = ([], [], [])
-    cuts: tuple[list[int], ...] = ([], [])
-    links: tuple[list[int], ...] = ([], [])
+    one_i, one_j, one_n, cut_i, cut_j, link_i, link_j = [], [], [], [], [], [], []
     i, shift, total = 0, 0, len(ends_a)
     while i < total:
         at, step = i, 1
         # Probe: slices of doubling length at this shift.
         while at < total and ends_a[at : at + step] == ends_b[at + shift : at + shift + step]:
-            at, step = at + step, 2 * step
-        # Halve: the first difference is among the last slice.
-        while step > 1 and at < total:
-            step //= 2
-            if ends_a[at : at + step] == ends_b[at + shift : at + shift + step]:
-                at += step
-        at = min(at, total)
+            at += step
+            step *= 2
         if at > i:
-            for column, value in zip(stretches, (i, i + shift, at - i), strict=True):
-                column.append(value)
+            # Halve: the first difference is among the last slice.
+            while step > 1 and at < total:
+                step >>= 1
+                if ends_a[at : at + step] == ends_b[at + shift : at + shift + step]:
+                    at += step
+            if at > total:
+                at = total
+            one_i.append(i)
+            one_j.append(i + shift)
+            one_n.append(at - i)
             i = at
-        if i == total:
-            break
+            if i == total:
+                break
         # Irregular: walk to the next common end.
         j = i + shift
         x, y = ends_a[i], ends_b[j]
-        while True:
-            links[0].append(i)
-            links[1].append(j)
+        while x != y:
+            link_i.append(i)
+            link_j.append(j)
             if x < y:
                 i += 1
                 x = ends_a[i]
-            elif y < x:
+            else:
                 j += 1
                 y = ends_b[j]
-            else:
-                break
-        i, j = i + 1, j + 1
-        cuts[0].append(i)
-        cuts[1].append(j)
-        shift = j - i
-    return stretches, cuts, links
+        link_i.append(i)
+        link_j.append(j)
+        i += 1
+        cut_i.append(i)
+        cut_j.append(j + 1)
+        shift = j + 1 - i
+    return (one_i, one_j, one_n), (cut_i, cut_j), (link_i, link_j)
 
 
-def _spread(starts: list[int], sizes: np.ndarray) -> np.ndarray:
+def _spread(starts, sizes: np.ndarray) -> np.ndarray:
     """All places of the stretches, in order."""
     starts = np.array(starts, np.int64)
     ends = np.cumsum(sizes)
@@ -169,16 +273,7 @@ class Aligned:
 
 def align_texts(pair: Pair, texts: list[str]) -> Aligned:
     """Texts that a tokenizer does not give back have no tokens."""
-    asked = [i for i, x in enumerate(texts) if x]
-    made_a, made_b = pair.encode([texts[i] for i in asked]) if asked else ([], [])
-    none = np.empty(0, np.int64)
-    ids_a, ids_b = [none] * len(texts), [none] * len(texts)
-    for i, a, b in zip(asked, made_a, made_b, strict=True):
-        said = b" " + texts[i].encode()
-        if joined(pair.bytes_a, a) == said and joined(pair.bytes_b, b) == said:
-            ids_a[i], ids_b[i] = a, b
-    first_a, first_b = (np.cumsum([0, *map(len, x)]) for x in (ids_a, ids_b))
-    flat_a, flat_b = (np.concatenate([none, *x]) for x in (ids_a, ids_b))
+    flat_a, first_a, flat_b, first_b = pair.encode(texts)
     # Texts begin and end at common places, so all of them are one pair of token rows.
     stretches, cuts, links = runs(np.cumsum(pair.long_a[flat_a]).tolist(), np.cumsum(pair.long_b[flat_b]).tolist())
     sizes = np.array(stretches[2], np.int64)
@@ -212,16 +307,8 @@ def spelled_groups(pair: Pair, x: Aligned) -> list[bytes]:
     return [bytes(raw[a : max(a, b - 1)]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _calls(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """The texts cut into lists of a bounded size (one text at least), with each list's first place."""
-    at, size = 0, 0
-    for i, x in enumerate(texts):
-        if size and size + len(x) > _CALL:
-            yield at, texts[at:i]
-            at, size = i, 0
-        size += len(x)
-    if at < len(texts):
-        yield at, texts[at:]
+def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, pa.int32()))
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -245,23 +332,18 @@ def align(docs: DataFrame, vocabulary_a: str, vocabulary_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(file_a.value, file_b.value)
         for batch in W.pieces(batches, limit=PIECE):
-            for at, texts in _calls(_texts(batch)):
-                x = align_texts(pair, texts)
-
-                def lists(values, first):
-                    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, pa.int32()))
-
-                in_text = np.repeat(np.arange(len(texts)), np.diff(x.first_group))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(at, len(texts)),
-                        lists(x.ids_a, x.first_a),
-                        lists(x.ids_b, x.first_b),
-                        lists(x.group_a - x.first_a[in_text], x.first_group),
-                        lists(x.group_b - x.first_b[in_text], x.first_group),
-                    ],
-                    names=["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"],
-                )
+            x = align_texts(pair, _texts(batch))
+            in_text = np.repeat(np.arange(batch.num_rows), np.diff(x.first_group))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    _lists(x.ids_a, x.first_a),
+                    _lists(x.ids_b, x.first_b),
+                    _lists(x.group_a - x.first_a[in_text], x.first_group),
+                    _lists(x.group_b - x.first_b[in_text], x.first_group),
+                ],
+                names=["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, a_ids array<int>, b_ids array<int>, a_ends array<int>, b_ends array<int>"
@@ -278,27 +360,26 @@ def _linked(file_a, file_b):
         pair, task, number = Pair(file_a.value, file_b.value), TaskContext.get().partitionId(), 0
         for batch in W.pieces(batches, limit=PIECE):
             piece, number = (task << 32) + number, number + 1
-            for at, texts in _calls(_texts(batch)):
-                x = align_texts(pair, texts)
-                keys = x.ids_a[x.link_a] * pair.size_b + x.ids_b[x.link_b]
-                said = [hashlib.sha256(g).hexdigest() if g else "" for g in spelled_groups(pair, x)]
-                pairs, times = [], []
-                for low, high in zip(x.first_link[:-1], x.first_link[1:], strict=True):
-                    values, count = np.unique(keys[low:high], return_counts=True)
-                    pairs.append(exchange.pack(values))
-                    times.append(exchange.pack(np.cumsum(count)))
-                counts = [np.diff(f) for f in (x.first_a, x.first_b, x.first_group, x.first_link)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(at, len(texts)),
-                        *[pa.array(c, pa.int64()) for c in counts],
-                        pa.array(said, pa.string()),
-                        pa.array([piece] * len(texts), pa.int64()),
-                        pa.array(pairs, pa.binary()),
-                        pa.array(times, pa.binary()),
-                    ],
-                    names=["doc_id", *_COUNTS, "groups_sha256", "_piece", "_pairs", "_times"],
-                )
+            x = align_texts(pair, _texts(batch))
+            keys = x.ids_a[x.link_a] * pair.size_b + x.ids_b[x.link_b]
+            said = [hashlib.sha256(g).hexdigest() if g else "" for g in spelled_groups(pair, x)]
+            pairs, times = [], []
+            for low, high in zip(x.first_link[:-1], x.first_link[1:], strict=True):
+                values, count = np.unique(keys[low:high], return_counts=True)
+                pairs.append(exchange.pack(values))
+                times.append(exchange.pack(np.cumsum(count)))
+            counts = [np.diff(f) for f in (x.first_a, x.first_b, x.first_group, x.first_link)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    *[pa.array(c, pa.int64()) for c in counts],
+                    pa.array(said, pa.string()),
+                    pa.array([piece] * batch.num_rows, pa.int64()),
+                    pa.array(pairs, pa.binary()),
+                    pa.array(times, pa.binary()),
+                ],
+                names=["doc_id", *_COUNTS, "groups_sha256", "_piece", "_pairs", "_times"],
+            )
 
     return run
 
