@@ -38,7 +38,7 @@ from fieldguard.llm import words as W
 from fieldguard.session import settle
 
 # Bytes of text whose distinct pairs are looked up together, and bytes encoded in one call.
-PIECE, _CALL = 4 << 20, 256 << 10
+PIECE, _CALL = 2 << 20, 256 << 10
 _SPACE_MARK = "▁"
 # Chunks whose ids a task remembers.
 _REMEMBERED = 100_000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import align, bpe, chat, decontaminate, jaccard, pii, sharding, substring, topk, toxicity, warc
+from fieldguard.llm import align, bpe, chat, decontaminate, jaccard, pii, quality, sharding, substring, topk, toxicity, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -275,3 +275,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return align.link_statistics(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@_query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
