@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldguard.llm import align, bpe, chat, decontaminate, jaccard, pii, quality, sharding, substring, topk, toxicity, warc
+from fieldguard.llm import align, bpe, chat, decontaminate, jaccard, phrases, pii, quality, sharding, substring, topk, toxicity, warc
 from fieldguard.sources.bindings import table
 
 QUERIES: dict = {}
@@ -280,3 +280,41 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_phrases"] = rf"""
+WITH t AS (
+ SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS id,
+        regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents WHERE text IS NOT NULL),
+w AS (
+ SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+f AS (
+ SELECT lang, phrase, m, count(*) AS f FROM (
+  SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase FROM (
+   SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM (
+    SELECT lang, w, unnest([1, 2, 3, 4, 5]) AS m FROM w)))
+ GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+cut AS (
+ SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+score AS (
+ SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+        CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+ FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+ JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ') JOIN n ON n.lang = c.lang),
+worst AS (
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM score) WHERE nth = 1),
+held AS (
+ SELECT lang, array_to_string(w[s:s + z - 1], ' ') AS phrase, max(a) AS longer FROM (
+  SELECT *, unnest(range(1, len(w) - z + 2)) AS s FROM (
+   SELECT lang, a, w, unnest(range(2, len(w))) AS z FROM cut WHERE k = 1 AND len(w) > 2))
+ GROUP BY 1, 2)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+ SELECT v.*, row_number() OVER (PARTITION BY v.lang ORDER BY score DESC, a DESC, v.phrase) AS rank
+ FROM worst v LEFT JOIN held h ON h.lang = v.lang AND h.phrase = v.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
+WHERE rank <= 2000"""
