@@ -6,8 +6,10 @@ line ends). Its count within a language can be no higher than that of its parts,
 1. A sample of the documents proposes phrases: those it holds at a threshold well below the one asked for.
 2. A full pass counts exactly, over all documents, the proposed phrases and their negative border: every
    phrase that is not proposed although the phrase without its last and that without its first word are.
-3. Border phrases that reach the threshold were missed by the sample. They join the proposed ones, and a
-   further pass counts the phrases this adds to the border, until nothing is missed: the set is closed.
+3. Border phrases that reach the threshold were missed by the sample. They join the proposed ones, and an
+   expansion pass counts what this adds. It also admits every phrase of frequent words that holds a missed
+   one, so it need not go word by word: a frequent phrase that was not counted yet holds a missed phrase, and
+   each of its parts is proposed, or missed, or holds a missed one itself. After it the set is closed.
 
 What a pass may count is told to tasks by a bit table of fixed size (``BITS``), filled from the hashes of
 the proposed phrases. A hash that coincides only lets more phrases be counted; so does a full table. Counts go by
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +41,9 @@ from fieldguard.session import settle
 
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
 # One document in SAMPLE is in the sample; a phrase is proposed at this share of its due count there.
-SAMPLE, LOWERED = 16, 0.4
+SAMPLE, LOWERED = 16, 0.6
 BITS = 1 << 26
-_PIECE = 4 << 20
+_PIECE = 3 << 20
 _BUCKET = 1 << 15  # bits of a row of Spark's bitmap functions
 _CUTS = np.zeros(256, bool)
 _CUTS[list(b".,;:!?\n\v\f\r")] = True
@@ -49,8 +52,9 @@ _IS_WORD[[0x20, 0x09]] = False
 
 
 def bits_of(phrases: DataFrame, bits: int) -> np.ndarray:
-    """A table of ``bits`` bits with those of the column ``place`` set. Its size bounds what reaches the driver."""
-    rows = phrases.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+    """A table of ``bits`` bits with those of the phrases set. Its size bounds what reaches the driver."""
+    places = phrases.select("lang", "phrase").mapInArrow(_places(bits), "place long")
+    rows = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
     )
     out = np.zeros(bits // 8, np.uint8)
@@ -98,17 +102,23 @@ class Piece:
         return self.langs.take(pa.array(self.keys[columns[0]] % langs)), said
 
 
-def count_piece(piece: Piece, most_words: int, now=None, before=None) -> Iterator[tuple]:
-    """(lang, phrase, size, count, hash) arrays of what this pass counts, size by size.
+def count_piece(piece: Piece, most_words: int, now=None, missed=None) -> Iterator[tuple]:
+    """(lang, phrase, count) arrays of what this pass counts, size by size.
 
     ``now``: bits of the proposed phrases (None: all phrases count); a phrase is admitted if those it
-    begins and ends with, one word shorter, are. ``before``: bits of the pass before; what it admitted is counted already.
+    begins and ends with, one word shorter, are proposed. ``missed``: in the expansion pass, bits of the
+    frequent phrases that were not proposed. Phrases that hold one count as proposed while all their
+    words are frequent; what the full pass admitted is counted already.
     """
     n = len(piece.number)
     if not n:
         return
     at, numbers, level = np.arange(n), piece.number, piece.hash
-    old = np.full(n, before is not None)
+    expands = missed is not None
+    old = np.full(n, expands)
+    # By the first word of a window of the size before: whether it holds a missed phrase, and frequent words only.
+    holds = _has(missed, level) if expands else None
+    common = _has(now, level) | holds if expands else None
     for size in range(1, most_words + 1):
         if size > 1:
             last = at + size - 1
@@ -116,12 +126,17 @@ def count_piece(piece: Piece, most_words: int, now=None, before=None) -> Iterato
             fits[fits] = ~piece.begins[last[fits]]
             at, numbers, old = at[fits], numbers[fits], old[fits]
             if now is not None:
-                admitted = _has(now, level[at]) & _has(now, level[at + 1])
+                proposed = _has(now, level)
+                old = old & proposed[at] & proposed[at + 1]
+                if expands:
+                    proposed |= holds & common
+                admitted = proposed[at] & proposed[at + 1]
                 at, numbers, old = at[admitted], numbers[admitted], old[admitted]
-            if before is not None:
-                old = old & _has(before, level[at]) & _has(before, level[at + 1])
             numbers = numbers * len(piece.keys) + piece.number[at + size - 1]
             level = W.rolling(piece.hash, size)
+            if expands:
+                holds = holds[:-1] | holds[1:] | _has(missed, level)
+                common = common[:-1] & common[1:]
         if not len(at):
             return
         _, first, numbers, count = np.unique(numbers, return_index=True, return_inverse=True, return_counts=True)
@@ -129,37 +144,49 @@ def count_piece(piece: Piece, most_words: int, now=None, before=None) -> Iterato
         if fresh.any():
             begin = at[first[fresh]]
             said = piece.text([piece.number[begin + i] for i in range(size)])
-            yield (*said, size, count[fresh], level[begin])
+            yield (*said, count[fresh])
 
 
-def _counts(docs: DataFrame, most_words: int, least: int, bits: int, now=None, before=None) -> DataFrame:
-    """One pass: lang, phrase, size, f, place of the phrases that occur ``least`` times, counted over ``docs``.
+def _counts(docs: DataFrame, most_words: int, least: int, now=None, missed=None) -> DataFrame:
+    """One pass: lang, phrase, size, f of the phrases that occur ``least`` times, counted over ``docs``.
 
-    Rows of size 0 have the number of all words of a language.
+    Rows of size 0 (phrase '') have the number of all words of a language.
     """
     sc = docs.sparkSession.sparkContext
-    now, before = (None if x is None else sc.broadcast(x) for x in (now, before))
+    now, missed = (None if x is None else sc.broadcast(x) for x in (now, missed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [None if x is None else x.value for x in (now, before)]
+        tables = [None if x is None else x.value for x in (now, missed)]
         for batch in W.pieces(batches, limit=_PIECE):
             piece = Piece(batch)
-            total = (piece.langs, pa.array([""] * len(piece.langs), pa.large_string()), 0, piece.words_of, np.zeros(len(piece.langs), np.uint64))
-            for lang, phrase, size, count, hashes in [total, *count_piece(piece, most_words, *tables)]:
-                columns = [
-                    lang.cast(pa.string()),
-                    phrase.cast(pa.string()),
-                    pa.array(np.full(len(count), size, np.int32)),
-                    pa.array(count.astype(np.int64)),
-                    pa.array(_place(hashes, bits)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "f", "place"])
-
-    counted = docs.mapInArrow(run, "lang string, phrase string, size int, f long, place long")
-    counted = counted.groupBy("lang", "phrase").agg(
-        F.max("size").alias("size"), F.sum("f").alias("f"), F.max("place").alias("place")
-    )
-    return settle(counted.where((F.col("f") >= least) | (F.col("size") == 0)))
+            total = (piece.langs, pa.array([""] * len(piece.langs), pa.large_string()), piece.words_of)
+            for lang, phrase, count in chain([total], count_piece(piece, most_words, *tables)):
+                columns = [lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(count.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
+
+    counted = docs.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
+    return settle(counted.where((F.col("f") >= least) | (F.col("phrase") == "")).withColumn("size", size))
+
+
+def _places(bits: int):
+    """Where the bit of each phrase is: by the hash that its words have in ``Piece``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, said = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
+            seeds = {x: W.content_hash(x.encode()) for x in set(langs)}
+            sizes = np.array([x.count(" ") + 1 for x in said], np.int64)
+            words = np.array([W.content_hash(w.encode()) for x in said for w in x.split(" ")] or [], np.uint64)
+            lang = np.repeat(np.array([seeds[x] for x in langs], np.uint64), sizes)
+            mixed, first = W.mix(words + lang), np.cumsum(sizes) - sizes
+            out = np.zeros(len(said), np.int64)
+            for size in np.unique(sizes).tolist():
+                level = mixed if size == 1 else W.rolling(mixed, size)
+                out[sizes == size] = _place(level[first[sizes == size]], bits)
+            yield pa.RecordBatch.from_arrays([pa.array(out)], names=["place"])
+
+    return run
 
 
 def frequent(
@@ -172,17 +199,14 @@ def frequent(
     docs = docs.select("doc_id", "text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0).select("text", "lang")
     docs = docs.select("text", "lang")
-    proposed = _counts(some, most_words, max(1, math.ceil(lowered * least / sample)), bits)
-    now, before = bits_of(proposed.where("size > 0"), bits), None
-    found = None
-    while True:
-        counted = _counts(docs, most_words, least, bits, now, before)
-        found = counted if found is None else found.unionByName(counted.where("size > 0"))
-        # Missed by the sample, and able to be part of something longer.
-        ahead = bits_of(counted.where(F.col("size").between(1, most_words - 1)), bits)
-        if not (ahead & ~now).any():
-            return found.select("lang", "phrase", "size", "f")
-        now, before = now | ahead, now
+    proposed = _counts(some, most_words, max(1, math.ceil(lowered * least / sample)))
+    now = bits_of(proposed.where("size > 0"), bits)
+    found = _counts(docs, most_words, least, now)
+    missed = bits_of(found.where("size > 0"), bits) & ~now
+    if missed.any():
+        further = _counts(docs, most_words, least, now, missed)
+        found = found.unionByName(further.where("size > 0"))
+    return found
 
 
 def _joined(words: Column, first: Column, count: Column) -> Column:
