@@ -36,7 +36,7 @@ TRAIN_ROWS, THRESHOLD = 10_000, 0.3
 # Bytes of a word's beginnings that are features besides the word.
 STEMS = (4, 5, 6)
 MOST_TRAITS = 4000
-_PIECE = 8 << 20
+_PIECE = 2 << 20
 # The language model's letters: a to z, the edge of a word, any other letter.
 EDGE, OTHER, LETTERS = 26, 27, 28
 _CELLS, _SLICES = LETTERS**4, 16
@@ -151,18 +151,32 @@ def _letter(c: str) -> int:
 def decode(said: str, model: list[float], repeat: float = REPEAT) -> str:
     """The likeliest text behind an obfuscated one: Viterbi over the lattice of its characters.
 
-    ``model``: the language model's costs as a flat list.
+    ``model``: the language model's costs as a flat list. A first search keeps the ``_STATES`` cheapest contexts
+    a character. Where it had to leave some out, its reading is only a bound: the second search keeps every
+    context that is not dearer than it already (costs are never negative), so the result is the exact best.
     """
     text = said.lower()
+    found, cost, whole = _search(text, model, repeat, _STATES, math.inf)
+    if not whole:
+        found, _, _ = _search(text, model, repeat, None, cost + 1e-9)
+    return found
+
+
+def _search(text: str, model: list[float], repeat: float, most: int | None, bound: float) -> tuple[str, float, bool]:
+    """Reading, its cost, and whether no context was left out for ``most``."""
+    lattice = [[(x, cost, _letter(x) if x else -1) for x, cost in _options(text, i, repeat)] for i in range(len(text))]
+    # What the characters from each place on cost at least: their cheapest options.
+    ahead = [0.0] * (len(text) + 1)
+    for i in range(len(text) - 1, -1, -1):
+        ahead[i] = ahead[i + 1] + min(cost for _, cost, _ in lattice[i])
     # By the last three letters, as one number: cost, and the letters so far as a chain.
     states: dict[int, tuple[float, tuple | None]] = {_START: (0.0, None)}
-    tail = len(text.rstrip(SEPARATORS))
-    for i in range(len(text)):
-        options = [(x, cost, _letter(x) if x else -1) for x, cost in _options(text, i, repeat)]
-        limit = math.inf
+    tail, whole = len(text.rstrip(SEPARATORS)), True
+    for i, options in enumerate(lattice):
+        limit = bound - ahead[i + 1]
         if i >= tail:  # a path that costs more than dropping all the rest can't be the best
             rest = APART * (len(text) - i) + 1e-6
-            limit = min([cost + rest + model[c * LETTERS + EDGE] for c, (cost, _) in states.items()])
+            limit = min(limit, *[cost + rest + model[c * LETTERS + EDGE] for c, (cost, _) in states.items()])
         after: dict[int, tuple[float, tuple | None]] = {}
         for context, (cost, chain) in states.items():
             row = context * LETTERS
@@ -176,15 +190,16 @@ def decode(said: str, model: list[float], repeat: float = REPEAT) -> str:
                     continue
                 if key not in after or now < after[key][0]:
                     after[key] = (now, link)
-        if len(after) > _STATES:
-            after = dict(sorted(after.items(), key=lambda s: s[1][0])[:_STATES])
+        if most is not None and len(after) > most:
+            after = dict(sorted(after.items(), key=lambda s: s[1][0])[:most])
+            whole = False
         states = after
-    chain = min(states.items(), key=lambda s: s[1][0] + model[s[0] * LETTERS + EDGE])[1][1]
+    context, (cost, chain) = min(states.items(), key=lambda s: s[1][0] + model[s[0] * LETTERS + EDGE])
     out = []
     while chain is not None:
         x, chain = chain
         out.append(x)
-    return "".join(reversed(out))
+    return "".join(reversed(out)), cost + model[context * LETTERS + EDGE], whole
 
 
 # How a byte run may be obfuscated: as plain text never is, as plain text may be too, by spacing.
@@ -348,10 +363,10 @@ def features(data, offsets, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs // len(known), pairs % len(known)
 
 
-def telling(taught: DataFrame, most: int = MOST_TRAITS, least_z: float = 6.0) -> np.ndarray:
+def telling(taught: DataFrame, most: int | None = MOST_TRAITS, least_z: float = 6.0) -> np.ndarray:
     """Sorted hashes of the traits whose count among toxic rows lies furthest over chance.
 
-    ``taught``: traits (array<long>), toxic. At most ``most`` traits, each at least ``least_z``
+    ``taught``: traits (array<long>), toxic. At most ``most`` traits (None: all), each at least ``least_z``
     deviations over it and in 3 rows. Only signs of toxicity count, so a text without any scores low.
     """
     n, toxic = taught.agg(F.count("*"), F.sum("toxic")).first()
@@ -359,7 +374,8 @@ def telling(taught: DataFrame, most: int = MOST_TRAITS, least_z: float = 6.0) ->
     counts = taught.select(F.explode("traits").alias("trait"), "toxic").groupBy("trait")
     counts = counts.agg(F.count("*").alias("n"), F.sum("toxic").alias("among")).where("n >= 3")
     far = (F.col("among") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
-    top = counts.withColumn("z", far).where(F.col("z") >= least_z).orderBy(F.desc("z"), "trait").limit(most)
+    top = counts.withColumn("z", far).where(F.col("z") >= least_z).orderBy(F.desc("z"), "trait")
+    top = top if most is None else top.limit(most)
     return np.sort(np.array([r[0] for r in top.select("trait").collect()], np.int64).view(np.uint64))
 
 
