@@ -18,11 +18,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +33,13 @@ from fieldguard.llm import words as W
 
 LEAF = 16_384
 _PIECE = 2 << 20
-# Words kept between pieces of a task; then the memory starts anew.
-_REMEMBERED = 50_000
+# Words kept between pieces of a task; beyond it the older half goes.
+_REMEMBERED = 200_000
 _LONG_WORD = 64
 _TOKENS_AT_ONCE = 1 << 18
 _SPACE = re.compile(r"[\t-\r ]")
-_ENCODERS: dict[str, Encoder] = {}
+# The encoder of the running task, by the task's attempt: the next task's takes its place.
+_HELD: dict[int, Encoder] = {}
 
 
 class Encoder:
@@ -45,10 +48,11 @@ class Encoder:
     def __init__(self, file_text: str):
         from tokenizers import Tokenizer
 
+        self.file_text = file_text
         self.tokenizer = Tokenizer.from_str(file_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         a, b = self.plain("ab"), self.plain("c")
         if self.plain(" ab\tc\n") != a + b or not a:
             raise ValueError("the vocabulary must split at white space and drop it")
@@ -58,11 +62,13 @@ class Encoder:
 
     @classmethod
     def of(cls, file_text: str) -> Encoder:
-        """One per worker process."""
-        key = f"{len(file_text)}-{hash(file_text)}"
-        if key not in _ENCODERS:
-            _ENCODERS[key] = cls(file_text)
-        return _ENCODERS[key]
+        """One per task: several groups of a task share it, and nothing outlives the task's successor."""
+        task = TaskContext.get()
+        key = -1 if task is None else task.taskAttemptId()
+        if key not in _HELD or _HELD[key].file_text != file_text:
+            _HELD.clear()
+            _HELD[key] = cls(file_text)
+        return _HELD[key]
 
     def plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -83,18 +89,13 @@ class Encoder:
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text ends."""
         found = W.find_words(*W.text_arrays(texts), W.SPACED)
-        values, first, which = np.unique(found.hash, return_index=True, return_inverse=True)
+        which, said = found.number, found.distinct.to_pylist()
         if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        keys = values.tolist()
-        missing = [i for i, k in enumerate(keys) if k not in self.known]
-        data, start, end = found.data, found.start[first], found.end[first]
-        said = [data[start[i] : end[i]].tobytes().decode() for i in missing]
-        made = dict(zip(missing, self.distinct(said), strict=True))
-        ids = [made[i] if i in made else self.known[k] for i, k in enumerate(keys)]
-        for i, x in made.items():
-            if end[i] - start[i] <= _LONG_WORD:
-                self.known[keys[i]] = x
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        missing = [x for x in said if x not in self.known]
+        made = dict(zip(missing, self.distinct([x.decode() for x in missing]), strict=True))
+        ids = [made[x] if x in made else self.known[x] for x in said]
+        self.known.update((x, i) for x, i in made.items() if len(x) <= _LONG_WORD)
         flat = np.frombuffer(b"".join(ids), np.int32)
         size = np.array([len(x) // 4 for x in ids], np.int64)
         begin = np.concatenate([[0], np.cumsum(size)])[:-1]
@@ -105,15 +106,18 @@ class Encoder:
         by_word = np.concatenate([[0], ends])
         return flat[place], by_word[found.first]
 
-    def text(self, ids: np.ndarray) -> str:
-        """What the library's decode gives with special tokens kept."""
+    def texts(self, ids: pa.ListArray) -> pa.Array:
+        """What the library's decode gives for each list, with special tokens kept."""
         if self.tokenizer.decoder is not None:
-            return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+            decode = self.tokenizer.decode
+            return pa.array([decode(x or [], skip_special_tokens=False) for x in ids.to_pylist()], pa.string())
         if self.tokens is None:
             size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-            self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)]
-        known = self.tokens
-        return " ".join([known[i] for i in ids.tolist()])
+            self.tokens = pa.array([self.tokenizer.id_to_token(i) for i in range(size)], pa.string())
+        said = self.tokens.take(ids.flatten())
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), said)
+        return pc.binary_join(lists, " ")
 
 
 def join(encoder: Encoder, left: tuple[str, np.ndarray], right: tuple[str, np.ndarray], width: int = 64):
@@ -266,12 +270,8 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 to = int(np.searchsorted(total, total[at] + _TOKENS_AT_ONCE, side="right")) - 1
                 to = min(batch.num_rows, max(at + 1, to))
                 part = batch.slice(at, to - at)
-                flat = part.column("ids").flatten().to_numpy()
-                cuts = total[at : to + 1] - total[at]
-                texts = [encoder.text(flat[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"]
-                )
+                texts = encoder.texts(part.column("ids"))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
                 at = to
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
