@@ -146,7 +146,10 @@ def find_hits(index, prefix):
 
 
 def _verify(found: W.Words, known: Index, prefix: dict, runs: list, items: list) -> None:
+    """Adds to each text's runs (start, words, ...) and items what occurs in it; runs that touch become one."""
     first = found.first
+    hit: dict[int, list[tuple[int, int]]] = {}
+    held: dict[int, dict] = {}
     for k, (keys, window, offset) in prefix.items():
         hashes, places = _spans(found, k)
         low = np.searchsorted(keys, hashes, side="left")
@@ -158,8 +161,18 @@ def _verify(found: W.Words, known: Index, prefix: dict, runs: list, items: list)
                 if at < first[d] or at + size > first[d + 1]:
                     continue
                 if found.joined(range(at, at + size)) == known.window[window[j]]:
-                    runs[d] = [*runs[d], at - int(first[d]), size]
-                    items[d] = [*items[d], known.ids[known.item[window[j]]]]
+                    begin = at - int(first[d])
+                    hit.setdefault(d, []).append((begin, begin + size))
+                    held.setdefault(d, {})[known.ids[known.item[window[j]]]] = None
+    for d, spans in hit.items():
+        merged: list[list[int]] = []
+        for begin, end in sorted(spans):
+            if merged and begin <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], end)
+            else:
+                merged.append([begin, end])
+        runs[d] = [*runs[d], *(x for begin, end in merged for x in (begin, end - begin))]
+        items[d] = [*items[d], *held[d]]
 
 
 def _covered(runs: Column) -> Column:

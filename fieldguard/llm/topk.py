@@ -30,7 +30,7 @@ BLOCK_BYTES = 4 << 20
 CHUNK, QUERIES_AT_ONCE = 2048, 1024
 # Scoring is cheaper than another segment once this share of the pairs is possible.
 FEW = 0.02
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_row long, query_id long, vec_id long, score long"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def search(block, k: int):
     """Task side: the k best vectors of the task's rows for every query of the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = block.value
+        first, ids, queries = block.value
         width = queries.shape[1]
         best = [(np.empty(0, np.int64),) * 3 for _ in range(0, len(ids), QUERIES_AT_ONCE)]
         for batch in batches:
@@ -107,7 +107,9 @@ def search(block, k: int):
                     best[b] = _merge(best[b], ids[low : low + QUERIES_AT_ONCE], own, vec_ids, vectors, k)
         for b, low in enumerate(range(0, len(ids), QUERIES_AT_ONCE)):
             q, v, s = best[b]
-            yield pa.RecordBatch.from_pydict({"query_id": ids[low + q], "vec_id": v, "score": s})
+            yield pa.RecordBatch.from_pydict(
+                {"query_row": first + low + q, "query_id": ids[low + q], "vec_id": v, "score": s}
+            )
 
     return run
 
@@ -152,12 +154,14 @@ def top_k(
     vectors, queries = usable(vectors), usable(queries)
     width = vectors.agg(F.max(F.size("v"))).first()[0] or 1
     found = spark.createDataFrame([], _FOUND)
+    first = 0  # query rows are numbered, so that rows with one id are queries of their own
     for ids, rows in _blocks(queries, block_bytes):
         matrix = np.zeros((len(rows), max(1, width)), np.int64)
         for i, row in enumerate(rows):
             matrix[i, : min(len(row), width)] = row[:width]
-        block = spark.sparkContext.broadcast((np.array(ids, np.int64), matrix))
+        block = spark.sparkContext.broadcast((first, np.array(ids, np.int64), matrix))
+        first += len(ids)
         found = found.unionByName(vectors.mapInArrow(search(block, k), _FOUND))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

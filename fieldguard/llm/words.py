@@ -7,7 +7,10 @@ between tasks. No loop runs over all words in Python.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from functools import cache
 
@@ -171,7 +174,10 @@ def text_arrays(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
 def pieces(
     batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = 8 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of each hold about ``limit`` bytes, one text at least."""
+    """Cut batches so that the texts of each hold about ``limit`` bytes, one text at least.
+
+    After the last one, memory that is free goes back to the system: workers serve many stages.
+    """
     for batch in batches:
         _, offsets = text_arrays(batch.column(text))
         at = 0
@@ -182,3 +188,10 @@ def pieces(
             at = to
         del batch, offsets
         pa.default_memory_pool().release_unused()
+    gc.collect()
+    _trim()
+
+
+def _trim() -> None:
+    with suppress(OSError, AttributeError):  # only glibc keeps freed memory, and only it has the call
+        ctypes.CDLL(None).malloc_trim(0)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import corpus_pipeline as pipeline
 from fieldguard.llm import pii, queries, toxicity
 from fieldguard.session import settle
-from tests.llm.test_documents import brute_base, brute_components, brute_leaks
+from tests.llm.test_documents import brute_base, brute_leaks
+from tests.llm.test_near_copies import brute_kept
 
 DIR = "/root/testdata/sf0.001"
 
@@ -24,8 +25,7 @@ def test_stages(spark):
             scores = toxicity.score_documents(docs, spark.read.parquet(f"{DIR}/labels.parquet")).collect()
             assert set(after) == {r.doc_id for r in scores if not r.predicted}
         elif name == "near duplicates":
-            rows = brute_components([(i, r.text) for i, r in before.items()])
-            assert set(after) == {i for i, _, c in rows if i == c}
+            assert set(after) == brute_kept([(i, r.text) for i, r in before.items()])
         elif name == "decontamination":
             bench = [tuple(r) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").select("item_id", "text").collect()]
             leaks = brute_leaks([(i, r.text) for i, r in before.items()], bench)
