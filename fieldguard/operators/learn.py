@@ -147,13 +147,11 @@ def _initial(counts: DataFrame, p: LearnParams) -> DataFrame:
         mid = small_side(
             order_stats.quantiles(counts, keys, "x", [0.5], chunk_rows=p.chunk_rows)
         )
-        apart = counts.join(mid.select(*keys, F.col("q0").alias("_median")), keys)
-        apart = (
-            apart.withColumn("x", F.abs(F.col("x") - F.col("_median")))
-            .groupBy(*keys, "x")
-            .agg(F.sum("_count").alias("_count"))
+        # Distances need no counting anew: equal ones from both sides may come as two rows.
+        apart = counts.alias("c").join(mid.alias("m"), order_stats._same("c", "m", keys))
+        apart = apart.select(
+            *[f"c.{k}" for k in keys], F.abs(F.col("c.x") - F.col("m.q0")).alias("x"), F.col("c._count").alias("_count")
         )
-        apart = settle(apart)
         mad = order_stats.quantiles(apart, keys, "x", [0.5], chunk_rows=p.chunk_rows)
         got = mid.withColumnRenamed("q0", "_median").join(
             mad.select(*keys, F.col("q0").alias("_mad")), keys

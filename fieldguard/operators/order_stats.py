@@ -3,7 +3,7 @@
 Values are first counted (equal values collapse before the shuffle). Ranks then come from running
 totals over *chunks*: Spark cuts the rows into sorted ranges of about ``chunk_rows`` rows, the ranges
 are written once, chunk totals are summed over that short list, and only a chunk at a time is sorted.
-Tables that fit one chunk skip all that.
+Tables that fit one chunk skip all that. Quantiles of larger tables are selected by counting digits, with no sort.
 
 Inputs are read more than once: hand in settled tables (``fieldguard.session.settle``).
 """
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldguard.session import settle
+from fieldguard.session import settle, small_side
 
 # Expected rows per chunk.
 CHUNK_ROWS = 1 << 20
@@ -136,6 +136,70 @@ def _rank_parts(total: Column, q: float) -> tuple[Column, Column]:
     return low, place - low
 
 
+# Buckets of a selection round: steps of an octave in the first, equal parts of what is left in later ones.
+OCTAVE_STEPS, PARTS = 8, 4096
+_BEYOND = OCTAVE_STEPS * 1200
+
+
+def _high_digits(x: Column) -> Column:
+    """Sign and exponent of a double as a whole number that rises with it; infinities stand apart."""
+    step = F.floor(F.least(F.log2(F.abs(x)) * OCTAVE_STEPS, F.lit(float(_BEYOND - 1)))).cast("bigint")
+    size = step + F.lit(_BEYOND).cast("bigint")
+    return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, size).otherwise(-size)
+
+
+def _part_of(x: Column, lo: Column, hi: Column) -> Column:
+    """Which of ``PARTS`` equal parts of [lo, hi] holds x; rises with x."""
+    return F.least(F.floor((x - lo) / (hi - lo) * PARTS), F.lit(PARTS - 1)).cast("bigint")
+
+
+def select_ranks(
+    counts: DataFrame, keys: Sequence[str], x: str, wanted: DataFrame, *, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """The value at each wanted place of the sorted values of its group, without sorting them.
+
+    ``counts``: settled (keys, x, _count) rows, not NULL or NaN; an x may come more than once. ``wanted``: keys, ``_t``
+    (which of the group's places), ``_rank`` (from 0), ``_lo`` and ``_hi`` (bounds of the group's values). Gives keys, ``_t``, ``_value``.
+
+    Values are counted by their high digits (sign and exponent, then equal parts of what is left), combined
+    before the shuffle; only the bucket that holds a wanted place is looked into again. Each round divides
+    the values' width by thousands, so five rounds end any case; as soon as no more than ``chunk_rows`` rows
+    are left in all of them together, those few are ranked.
+    """
+    keys, first = list(keys), True
+    found, open_, left = None, wanted.select(*keys, "_t", "_rank", "_lo", "_hi"), None
+    while True:
+        solved = open_.where("_lo = _hi").select(*keys, "_t", F.col("_lo").alias("_value"))
+        found = solved if found is None else found.unionByName(solved)
+        if left is not None and left <= chunk_rows:
+            break
+        target = small_side(open_.where("_lo < _hi"))
+        near = counts.alias("c").join(target.alias("w"), _same("c", "w", keys))
+        value = F.col(f"c.{x}")
+        near = near.where(value.between(F.col("w._lo"), F.col("w._hi")))
+        bucket = _high_digits(value) if first else _part_of(value, F.col("w._lo"), F.col("w._hi"))
+        near = near.select(*[F.col(f"w.{k}") for k in keys], "w._t", "w._rank", bucket.alias("_bucket"), value.alias("_x"), "c._count")
+        held = near.groupBy(*keys, "_t", "_rank", "_bucket").agg(
+            F.sum("_count").alias("_weight"), F.count("*").alias("_rows"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+        )
+        upto = Window.partitionBy(*keys, "_t").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        held = held.withColumn("_before", F.sum("_weight").over(upto) - F.col("_weight"))
+        held = held.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_weight")))
+        open_ = settle(held.select(*keys, "_t", (F.col("_rank") - F.col("_before")).alias("_rank"), "_lo", "_hi", "_rows"))
+        left = open_.where("_lo < _hi").agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+        first = False
+    if left == 0:
+        return found
+    target = small_side(open_.where("_lo < _hi"))
+    near = counts.alias("c").join(target.alias("w"), _same("c", "w", keys))
+    near = near.where(F.col(f"c.{x}").between(F.col("w._lo"), F.col("w._hi")))
+    near = near.select(*[F.col(f"w.{k}") for k in keys], "w._t", "w._rank", F.col(f"c.{x}").alias("_x"), "c._count")
+    upto = Window.partitionBy(*keys, "_t").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.withColumn("_before", F.sum("_count").over(upto) - F.col("_count"))
+    near = near.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_count")))
+    return found.unionByName(near.select(*keys, "_t", F.col("_x").alias("_value")))
+
+
 def quantiles(
     counts: DataFrame,
     keys: Sequence[str],
@@ -146,21 +210,43 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) of counted, non-NULL values.
 
-    Gives keys, ``n``, ``smallest``, ``largest`` and ``q0``, ``q1``, ... per probability.
+    Gives keys, ``n``, ``smallest``, ``largest`` and ``q0``, ``q1``, ... per probability. Up to
+    ``chunk_rows`` rows are ranked; more are never sorted, see ``select_ranks``. Equal values may come as several rows.
     """
-    ranked = with_running_total(counts, keys, [x], weight="_count", chunk_rows=chunk_rows)
-    start, stop = F.col("_before"), F.col("_before") + F.col("_count")
-    aggs = [
-        F.max("_total").alias("n"),
-        F.min(x).alias("smallest"),
-        F.max(x).alias("largest"),
-    ]
-    for i, q in enumerate(probabilities):
-        low, _ = _rank_parts(F.col("_total"), q)
-        aggs.append(F.max(F.when((start <= low) & (low < stop), F.col(x))).alias(f"_low{i}"))
-        high = F.least(low + 1, F.col("_total") - 1)
-        aggs.append(F.max(F.when((start <= high) & (high < stop), F.col(x))).alias(f"_high{i}"))
-    found = ranked.groupBy(*keys).agg(*aggs)
+    keys = list(keys)
+    bounds = [F.min(x).alias("smallest"), F.max(x).alias("largest")]
+    if counts.count() > chunk_rows:
+        groups = settle(counts.groupBy(*keys).agg(F.sum("_count").alias("n"), *bounds))
+        ranks = []
+        for q in probabilities:
+            low, _ = _rank_parts(F.col("n"), q)
+            ranks += [low, F.least(low + 1, F.col("n") - 1)]
+        numbered = F.array(*[F.struct(F.lit(i).alias("_t"), r.cast("bigint").alias("_rank")) for i, r in enumerate(ranks)])
+        # A group of gaps or texts has rows, but no values to rank.
+        wanted = groups.where("smallest IS NOT NULL").select(
+            *keys, F.inline(numbered), F.col("smallest").alias("_lo"), F.col("largest").alias("_hi")
+        )
+        picked = select_ranks(counts.where(F.col(x).isNotNull()), keys, x, settle(wanted), chunk_rows=chunk_rows)
+        values = picked.groupBy(*keys).agg(
+            *[
+                F.max(F.when(F.col("_t") == 2 * i + j, F.col("_value"))).alias(f"_{side}{i}")
+                for i in range(len(probabilities))
+                for j, side in enumerate(("low", "high"))
+            ]
+        )
+        sides = [f"_{side}{i}" for i in range(len(probabilities)) for side in ("low", "high")]
+        found = groups.alias("g").join(values.alias("v"), _same("g", "v", keys), "left")
+        found = found.select("g.*", *[f"v.{c}" for c in sides])
+    else:
+        ranked = with_running_total(counts, keys, [x], weight="_count", chunk_rows=chunk_rows)
+        start, stop = F.col("_before"), F.col("_before") + F.col("_count")
+        aggs = [F.max("_total").alias("n"), *bounds]
+        for i, q in enumerate(probabilities):
+            low, _ = _rank_parts(F.col("_total"), q)
+            aggs.append(F.max(F.when((start <= low) & (low < stop), F.col(x))).alias(f"_low{i}"))
+            high = F.least(low + 1, F.col("_total") - 1)
+            aggs.append(F.max(F.when((start <= high) & (high < stop), F.col(x))).alias(f"_high{i}"))
+        found = ranked.groupBy(*keys).agg(*aggs)
     out = []
     for i, q in enumerate(probabilities):
         _, part = _rank_parts(F.col("n"), q)

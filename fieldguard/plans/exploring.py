@@ -298,23 +298,29 @@ W11_SQL = f"""WITH {sql.EP} SELECT model, episode_id, episode_id || '_collect.js
 
 def w12_integrity(spark, d):
     """Line items as values (orders as episodes, parts as fields): repeated keys, repeated names,
-    and values of unknown episodes and fields show up."""
+    and values of unknown episodes and fields show up. The tables are read whole; the episodes of pending
+    orders and the fields of economy parts carry other keys, some without any, so their values are orphans."""
     one = F.lit("all").alias("model")
     lines = b.table(spark, d, "lineitem").select(
         one,
         F.col("l_orderkey").cast("string").alias("episode_id"),
         F.col("l_partkey").alias("field_id"),
     )
-    orders = b.table(spark, d, "orders").filter("o_orderstatus <> 'P'")
-    episodes = orders.select(one, F.col("o_orderkey").cast("string").alias("episode_id"))
-    parts = b.table(spark, d, "part").filter("p_type <> 'ECONOMY'")
-    fields = parts.select(one, F.col("p_partkey").alias("field_id"), F.col("p_name").alias("field"))
+    order = F.col("o_orderkey")
+    pending = F.when(order % 2 == 0, -order)
+    episodes = b.table(spark, d, "orders").select(
+        one, F.when(F.col("o_orderstatus") == "P", pending).otherwise(order).cast("string").alias("episode_id")
+    )
+    part = F.col("p_partkey")
+    fields = b.table(spark, d, "part").select(
+        one, F.when(F.col("p_type") == "ECONOMY", -part).otherwise(part).alias("field_id"), F.col("p_name").alias("field")
+    )
     return warehouse.integrity_report({"field_value": lines, "episode": episodes, "field": fields})
 
 
 W12_SQL = """WITH fv AS (SELECT l_orderkey AS e, l_partkey AS f FROM lineitem),
-e AS (SELECT o_orderkey AS e FROM orders WHERE o_orderstatus <> 'P'),
-f AS (SELECT p_partkey AS f, p_name AS nm FROM part WHERE p_type <> 'ECONOMY')
+e AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey WHEN o_orderkey % 2 = 0 THEN -o_orderkey END AS e FROM orders),
+f AS (SELECT CASE WHEN p_type = 'ECONOMY' THEN -p_partkey ELSE p_partkey END AS f, p_name AS nm FROM part)
 SELECT 'field_value' AS "table", 'duplicate_key' AS "check", count(*) AS violations FROM (SELECT e, f FROM fv GROUP BY 1, 2 HAVING count(*) > 1)
 UNION ALL SELECT 'field_value', 'null_key', count(*) FROM fv WHERE e IS NULL OR f IS NULL
 UNION ALL SELECT 'episode', 'duplicate_key', count(*) FROM (SELECT e FROM e GROUP BY 1 HAVING count(*) > 1)
@@ -322,7 +328,7 @@ UNION ALL SELECT 'episode', 'null_key', count(*) FROM e WHERE e IS NULL
 UNION ALL SELECT 'field', 'duplicate_key', count(*) FROM (SELECT f FROM f GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'field', 'null_key', count(*) FROM f WHERE f IS NULL
 UNION ALL SELECT 'field', 'duplicate_field', count(*) FROM (SELECT nm FROM f GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'field_value', 'orphan_episode', count(*) FROM (SELECT DISTINCT e FROM fv WHERE e NOT IN (SELECT e FROM e))
+UNION ALL SELECT 'field_value', 'orphan_episode', count(*) FROM (SELECT DISTINCT e FROM fv WHERE e NOT IN (SELECT e FROM e WHERE e IS NOT NULL))
 UNION ALL SELECT 'field_value', 'orphan_field', count(*) FROM (SELECT DISTINCT f FROM fv WHERE f NOT IN (SELECT f FROM f))"""
 
 QUERIES = {
@@ -589,32 +595,33 @@ def _rounded(stats: DataFrame) -> DataFrame:
 
 
 def x13_numeric_stats(spark, d):
+    """All fields by area, numeric and text ones in one pass."""
     rows, fields = document_rows(spark, d)
-    numeric = rows.filter("field_id <> 1")
-    return _rounded(explore.group_stats(numeric, fields, _bounds(fields), "area"))
+    return _rounded(explore.group_stats(rows, fields, _bounds(fields), "area"))
 
 
 def x14_text_stats(spark, d):
+    """All fields by task, numeric and text ones in one pass."""
     rows, fields = document_rows(spark, d)
-    return _rounded(explore.group_stats(rows.filter("field_id = 1"), fields, _bounds(fields), "taskid"))
+    return _rounded(explore.group_stats(rows, fields, _bounds(fields), "taskid"))
 
 
-X13_SQL = f"""WITH {D_FACT},
+def _stats_sql(group: str) -> str:
+    return f"""WITH {D_FACT},
 b AS (SELECT *, CASE field_id WHEN 3 THEN 500 ELSE 0 END AS lo, CASE field_id WHEN 3 THEN 5000 ELSE 0 END AS hi
- FROM fact WHERE field_id <> 1)
-SELECT model, field_id, area AS group_key, round(avg(x), 4) AS mean,
- round(count(*) FILTER (x BETWEEN lo AND hi) / nullif(count(x), 0) * 100, 4) AS pass_rate,
- CAST(count(*) FILTER (x BETWEEN lo AND hi) AS BIGINT) AS pass_count,
- CAST(count(*) FILTER (x NOT BETWEEN lo AND hi) AS BIGINT) AS fail_count,
+ FROM fact)
+SELECT model, field_id, {group} AS group_key, CASE WHEN field_id <> 1 THEN round(avg(x), 4) END AS mean,
+ CASE WHEN field_id = 1 THEN round(count(x) / count(*) * 100, 4)
+  ELSE round(count(*) FILTER (x BETWEEN lo AND hi) / nullif(count(x), 0) * 100, 4) END AS pass_rate,
+ CAST(count(*) FILTER (field_id = 1 AND x IS NOT NULL OR field_id <> 1 AND x BETWEEN lo AND hi) AS BIGINT) AS pass_count,
+ CAST(count(*) FILTER (field_id <> 1 AND x NOT BETWEEN lo AND hi) AS BIGINT) AS fail_count,
  CAST(count(*) FILTER (x IS NULL) AS BIGINT) AS missing_count,
  round(count(*) FILTER (x IS NULL) / count(*) * 100, 4) AS missing_rate
 FROM b GROUP BY 1, 2, 3"""
-X14_SQL = f"""WITH {D_FACT}
-SELECT model, field_id, taskid AS group_key, CAST(NULL AS DOUBLE) AS mean,
- round(count(x) / count(*) * 100, 4) AS pass_rate, CAST(count(x) AS BIGINT) AS pass_count,
- 0::BIGINT AS fail_count, CAST(count(*) - count(x) AS BIGINT) AS missing_count,
- round((count(*) - count(x)) / count(*) * 100, 4) AS missing_rate
-FROM fact WHERE field_id = 1 GROUP BY 1, 2, 3"""
+
+
+X13_SQL = _stats_sql("area")
+X14_SQL = _stats_sql("taskid")
 
 
 def indexed_documents(spark, d):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldguard.functions import selectors as sel
 from fieldguard.operators import discover, extract, flatten, learn, publish
 from fieldguard.operators.discover import BlockRule, FieldFilter
-from fieldguard.operators.learn import LearnParams, TextRule
+from fieldguard.operators.learn import TextRule
 from fieldguard.plans import oracle as sql
 from fieldguard.plans.learning import PART_FIELDS, order_values, part_fields
 from fieldguard.session import settle, shared_dir
@@ -590,11 +590,14 @@ SQL |= {
 
 
 def order_ranges(spark, d) -> DataFrame:
-    """Observed ranges of the numeric order fields, and their metadata marked as text."""
-    p = LearnParams(
-        method="cover", cover_pct=1.0, expand_pct=0.0, non_numeric_rules=[TextRule(["metadata_raw"])]
-    )
-    return learn.learn_ranges(order_values(spark, d), p).drop("is_bool")
+    """Observed ranges of the numeric order fields, and their metadata marked as text: one aggregate, no ranks."""
+    forced = learn.is_forced_non_numeric(F.col("model"), F.col("field"), [TextRule(["metadata_raw"])])
+    found = learn.observed(order_values(spark, d)).withColumn("_text", forced | (F.col("n") == 0))
+    bound = lambda c: F.when(~F.col("_text"), F.round(c, 6))
+    return found.select(
+        "model", F.lit("base").alias("variant"), "field", bound("smallest").alias("lo"), bound("largest").alias("hi"),
+        F.col("_text").alias("is_non_numeric"),
+    )
 
 
 _PACKED = f"""WITH {sql.O_TEXT},

@@ -143,3 +143,37 @@ def test_quantiles_of_a_null_group(spark, chunk_rows):
     df = settle(spark.range(41).selectExpr("cast(null as string) as g", "cast(id as double) as x", "1L as _count"))
     row = order_stats.quantiles(df, KEYS, "x", [0.25, 0.5], chunk_rows=chunk_rows).collect()
     assert [tuple(r) for r in row] == [(None, 41, 0.0, 40.0, 10.0, 20.0)]
+
+
+def test_selection_of_extreme_values(spark):
+    """Subnormals, infinities, both zeros, neighbours in the last bit and repeats, counted more than once."""
+    rng = random.Random(8)
+    wide = [rng.choice([-1, 1]) * 2.0 ** rng.uniform(-1070, 1020) for _ in range(300)] + [0.0, -0.0, 5e-324, -5e-324]
+    close = [1.0 + i * 2**-52 for i in range(200)]
+    groups = {"wide": wide, "close": close, "ends": [-math.inf] * 3 + [1e308, -1e308] * 5 + [math.inf] * 2, None: [2.0, 3.0] * 40}
+    data = [(g, x, n) for g, xs in groups.items() for x in xs for n in (1, 2)]
+    counts = settle(spark.createDataFrame(data, "g string, x double, _count bigint"))
+    probabilities = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r["g"]: r for r in order_stats.quantiles(counts, KEYS, "x", probabilities, chunk_rows=2).collect()}
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        ranked = sorted(xs * 3)
+        for i, q in enumerate(probabilities):
+            place = (len(ranked) - 1) * q
+            low, part = math.floor(place), place - math.floor(place)
+            a, b = ranked[low], ranked[min(low + 1, len(ranked) - 1)]
+            want = a if part == 0 else a + (b - a) * part
+            assert got[g][f"q{i}"] == want or math.isnan(got[g][f"q{i}"]) and math.isnan(want), (g, q)
+
+
+def test_selection_sorts_nothing_whole(spark):
+    """Large tables are counted by digits: no range exchange, and windows only over buckets and what is left."""
+    rng = random.Random(9)
+    counts = settle(spark.createDataFrame([("hot", rng.gauss(0, 9), 1) for _ in range(4000)], "g string, x double, _count bigint"))
+    out = order_stats.quantiles(counts, KEYS, "x", [0.25, 0.75], chunk_rows=200)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+    windows = [line for line in plan.splitlines() if "Window" in line and "sum(" in line]
+    assert all("_t" in line for line in windows)
+    xs = sorted(r["x"] for r in counts.collect())
+    assert np.allclose(list(out.first())[-2:], np.quantile(xs, [0.25, 0.75]), rtol=0, atol=1e-12)
