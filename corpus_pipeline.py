@@ -2,10 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), keeps the columns of ``documents`` (the last adds tokens) and is
 written as Parquet and read again before the next. Decisions take effect: toxic documents go, one
-document of every near-duplicate component stays, words of benchmark items are cut out, personal
-data is replaced by its kind, and what is left is encoded. ``n_chars`` follows the text.
+document of every near-duplicate component stays, documents that hold a window of a benchmark item go,
+personal data is replaced by its kind, and what is left is encoded (the ids are not decoded again).
+``n_chars`` follows the text.
 
-Rows with a null doc_id pass every stage (no decision can name them); tables may be empty.
+Rows with a null doc_id pass every stage (no decision can name them). Rows that repeat a doc_id are one
+document to the near-duplicate stage: all of them stay or go. Tables may be empty.
 """
 
 from __future__ import annotations
