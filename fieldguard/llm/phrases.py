@@ -41,7 +41,7 @@ from fieldguard.session import settle
 
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
 # One document in SAMPLE is in the sample; a phrase is proposed at this share of its due count there.
-SAMPLE, LOWERED = 16, 0.6
+SAMPLE, LOWERED = 24, 0.7
 BITS = 1 << 26
 _PIECE = 3 << 20
 _BUCKET = 1 << 15  # bits of a row of Spark's bitmap functions
