@@ -41,7 +41,7 @@ from fieldguard.session import settle
 PIECE, _CALL = 2 << 20, 256 << 10
 _SPACE_MARK = "▁"
 # Chunks whose ids a task remembers.
-_REMEMBERED = 100_000
+_REMEMBERED = 300_000
 
 
 def _but(*codes: int) -> np.ndarray:
