@@ -8,12 +8,15 @@ Jaccard similarity 0.9 or more must share a token of their prefixes. The join ru
 2. groups meet by prefix token. Each group is first paired with the hub it shares most tokens with,
    each class with its group's first class: as many pairs as groups and classes, not their square;
 3. classes still in different components are expanded from their groups and paired by token under
-   the length, positional and bitmap bounds; the number of prefix tokens they share must fit their
-   sizes. All that is left is verified, so no link that could join two components is missed, while
-   copies that are connected already never meet again.
+   the length, positional and bitmap bounds. The first token a similar pair shares leaves enough
+   elements behind it on both sides, so a pair comes up at places that can be the first only. All
+   that is left is verified, so no link that could join two components is missed, while copies that
+   are connected already never meet again.
 
 Verification compares the real shingles of both texts. The bitmap holds the parity of the elements
-in each of 512 cells, so two bitmaps differ in at most as many cells as the sets have differences.
+in each cell, so two bitmaps differ in at most as many cells as the sets have differences. It has
+512 cells, four times as many for sets of over 2,000 elements, and so on by fours; bitmaps of
+neighbouring widths are compared after the wider one is folded.
 
 Defined results: null and empty texts have no shingles and no links; a null doc_id has no component
 and links with nothing; rows that share a doc_id are one document, linked by all its texts.
@@ -35,8 +38,8 @@ from fieldguard.llm.graph import components
 from fieldguard.session import settle
 
 SHINGLE, PERCENT = 3, 90
-# Prefixes grow by one token for so many elements, and similar sets then share one more for each.
-SHARED = 50
+# Longs of the narrowest bitmap, and the elements it serves; both grow by fours together.
+LONGS, SERVED = 8, 2000
 # The place that stands for a whole prefix where classes of one group meet.
 SAME_PREFIX = -1
 # Counts of words by hash; a fixed size, whatever the corpus.
@@ -113,6 +116,19 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return (4 * np.log2(counts + 1)).astype(np.uint8)
 
 
+def _bitmaps(doc: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """Parity of each text's elements by the low bits of their mixed hashes, as longs."""
+    longs = np.full(len(n), LONGS, np.int64)
+    served = SERVED
+    while (n > served).any():
+        longs[n > served] *= 4
+        served *= 4
+    ends = np.concatenate([[0], np.cumsum(longs)])
+    cells = ends[doc] * 64 + (W.mix(hashes) & (longs[doc] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=int(ends[-1]) * 64) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.packbits(odd).view(np.int64)))
+
+
 def sets(classes, size: int, percent: int):
     """Task side: size, identity, prefix and bitmap of every text's set."""
 
@@ -129,16 +145,13 @@ def sets(classes, size: int, percent: int):
             first = np.concatenate([[0], np.cumsum(n)])
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(W.mix(hashes ^ np.uint64(c)))]) for c in (7, 0xABCDEF)]
             one, two = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-            keep = np.minimum(n, n - (percent * n + 99) // 100 + 1 + n // SHARED)
+            keep = np.minimum(n, n - (percent * n + 99) // 100 + 1)
             inside = np.arange(len(doc)) - first[doc] < keep[doc]
             cuts = np.concatenate([[0], np.cumsum(keep)])
             prefix = pa.ListArray.from_arrays(
                 pa.array(cuts, pa.int32()), pa.array(hashes[inside].view(np.int64))
             )
-            cells = doc * 512 + (W.mix(hashes) >> np.uint64(55)).astype(np.int64)
-            odd = (np.bincount(cells, minlength=count * 512) & 1).astype(np.uint8)
-            bits = np.packbits(odd.reshape(count, 512), axis=1).reshape(-1).view(np.int64)
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * 8, pa.int32()), pa.array(bits))
+            bits = _bitmaps(doc, hashes, n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n), pa.array(one), pa.array(two), prefix, bits],
                 names=["id", "n", "one", "two", "prefix", "bits"],
@@ -219,11 +232,22 @@ def _reach(n: Column, i: Column, m: Column, j: Column) -> Column:
 
 def _differ(x: Column, y: Column) -> Column:
     """A number of elements that are surely in one set only, from the bitmaps."""
-    return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(8)), start=F.lit(0))
 
+    def fold(z: Column, longs: Column) -> Column:
+        parts = lambda i: [F.get(z, (i + k * longs).cast("int")) for k in range(4)]
+        return F.transform(F.sequence(F.lit(0), longs - 1), lambda i: reduce(Column.bitwiseXOR, parts(i)))
 
-def _xor(columns: list[Column]) -> Column:
-    return reduce(lambda x, y: x.bitwiseXOR(y), columns)
+    def count(u: Column, v: Column) -> Column:
+        each = F.zip_with(u, v, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        return F.aggregate(each, F.lit(0), lambda s, k: s + k)
+
+    narrow = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(LONGS)), start=F.lit(0))
+    return (
+        F.when((F.size(x) == LONGS) & (F.size(y) == LONGS), narrow)
+        .when(F.size(x) == F.size(y), count(x, y))
+        .when(F.size(x) < F.size(y), count(x, fold(y, F.size(x))))
+        .otherwise(count(fold(x, F.size(y)), y))
+    )
 
 
 def _near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -278,23 +302,19 @@ def link_components(
     links = settle(verified(stars, docs, size, percent))
     found = settle(components(links))
 
-    # What is still apart: classes of the live groups, by token and by group. The bitmaps travel folded.
+    # What is still apart: classes of the live groups, by token and by group.
     heads = members.groupBy("grp", "n").agg(F.min("id").alias("head"))
-    fold = lambda k: _xor([F.col("bits")[i] for i in range(k, 8, 2)])
     cls = members.join(heads, ["grp", "n"]).join(found.withColumnRenamed("vertex", "id"), "id", "left")
     cls = settle(
-        cls.select(
-            "head", "id", "n", F.coalesce("component", "id").alias("component"),
-            fold(0).alias("even"), fold(1).alias("odd"),
-        )
-    )
+        cls.select("head", "id", "n", F.coalesce("component", "id").alias("component"), "bits")
+    )
     entries = live.select("token", F.col("id").alias("head"), "pos").join(cls, "head")
     alone = cls.join(several.select(F.col("a").alias("head")).distinct(), "head", "left_semi")
     entries = entries.unionByName(
         alone.withColumn("token", F.xxhash64("head")).withColumn("pos", F.lit(SAME_PREFIX))
     )
     entries = entries.select(
-        "token", "id", F.col("n").cast("int").alias("n"), "pos", "component", "even", "odd"
+        "token", "id", F.col("n").cast("int").alias("n"), "pos", "component", "bits"
     ).repartition("token")
     weight = entries.groupBy("token", "component").agg(F.count("*").alias("c"))
     main = weight.groupBy("token").agg(
@@ -307,28 +327,19 @@ def link_components(
     p, q = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"q.{c}"))
     sizes, needs = _similar(percent, p("n"), q("n"))
     together = (p("pos") == SAME_PREFIX) & (q("pos") == SAME_PREFIX)
-    reach = _reach(p("n"), p("pos"), q("n"), q("pos"))
-    differ = sum((F.bit_count(p(c).bitwiseXOR(q(c))) for c in ("even", "odd")), start=F.lit(0))
+    # Nothing before the first shared token is shared, so what follows it must do.
+    behind = F.least(p("n") - p("pos"), q("n") - q("pos"))
     met = one.join(
         two,
         (p("token") == q("token"))
         & (p("component") != q("component"))
         & ((q("component") == q("main")) | (p("id") < q("id")))
         & sizes
-        & (together | (reach >= needs))
-        & (differ <= p("n") + q("n") - 2 * needs),
-    )
-    # A pair comes once for each token it shares; classes of one group share their whole prefix.
-    counted = met.groupBy(
-        F.least(p("id"), q("id")).alias("a"), F.greatest(p("id"), q("id")).alias("b")
-    ).agg(
-        F.count("*").alias("c"),
-        F.max(together).alias("together"),
-        F.min(F.least(p("n"), q("n"))).alias("n"),
+        & (together | (behind >= needs))
+        & (_differ(p("bits"), q("bits")) <= p("n") + q("n") - 2 * needs),
     )
-    pairs = counted.where(F.col("together") | (F.col("c") >= 1 + F.floor(F.col("n") / SHARED)))
-    pairs = pairs.select("a", "b")
-    pairs = _near(pairs, members, percent).select("a", "b")
+    # A pair comes once for each token that may be its first.
+    pairs = met.select(F.least(p("id"), q("id")).alias("a"), F.greatest(p("id"), q("id")).alias("b")).distinct()
     # A pair tried as a star and refused need not be tried again.
     tried = stars.union(stars.select("b", "a"))
     pairs = pairs.join(tried, ["a", "b"], "left_anti")
