@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +37,6 @@ _REMEMBERED = 200_000
 _LONG_WORD = 64
 _TOKENS_AT_ONCE = 1 << 18
 _SPACE = re.compile(r"[\t-\r ]")
-# The encoder of the running task, by the task's attempt: the next task's takes its place.
-_HELD: dict[int, Encoder] = {}
 
 
 class Encoder:
@@ -48,7 +45,6 @@ class Encoder:
     def __init__(self, file_text: str):
         from tokenizers import Tokenizer
 
-        self.file_text = file_text
         self.tokenizer = Tokenizer.from_str(file_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -60,16 +56,6 @@ class Encoder:
         self.mark = mark[0] if len(mark) == 1 else None
         self.tokens = None
 
-    @classmethod
-    def of(cls, file_text: str) -> Encoder:
-        """One per task: several groups of a task share it, and nothing outlives the task's successor."""
-        task = TaskContext.get()
-        key = -1 if task is None else task.taskAttemptId()
-        if key not in _HELD or _HELD[key].file_text != file_text:
-            _HELD.clear()
-            _HELD[key] = cls(file_text)
-        return _HELD[key]
-
     def plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -168,13 +154,13 @@ def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def _encode(file_text, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(file_text.value)
+        encoder = Encoder(file_text.value)
         for batch in W.pieces(batches, limit=_PIECE):
             ids = _lists(*encoder.batch(batch.column("text")))
             kept = batch.select(columns)
             yield pa.RecordBatch.from_arrays([*kept.columns, ids], names=[*columns, "ids"])
 
-    return run
+    return W.tidy(run)
 
 
 def _cut(leaf: int):
@@ -196,7 +182,7 @@ def _encode_parts(file_text, columns: list[str]):
     """Parts of texts with their ids, both compressed for the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pack = Encoder.of(file_text.value), zstandard.ZstdCompressor(level=3).compress
+        encoder, pack = Encoder(file_text.value), zstandard.ZstdCompressor(level=3).compress
         for batch in W.pieces(batches, limit=_PIECE):
             ids, ends = encoder.batch(batch.column("text"))
             said = [pack(x.encode()) for x in batch.column("text").to_pylist()]
@@ -206,21 +192,35 @@ def _encode_parts(file_text, columns: list[str]):
                 names=[*columns, "_text", "_ids"],
             )
 
-    return run
+    return W.tidy(run)
 
 
 def _join_parts(file_text, kept: list[str]):
-    def run(table: pa.Table) -> pa.Table:
-        encoder = Encoder.of(file_text.value)
-        table = table.sort_by("_part")
-        expand = zstandard.ZstdDecompressor().decompress
-        texts = [expand(x).decode() for x in table.column("_text").to_pylist()]
-        encoded = [np.frombuffer(expand(x), np.int32) for x in table.column("_ids").to_pylist()]
-        ids = concatenate(encoder, list(zip(texts, encoded, strict=True)))
-        out = table.select(kept).slice(0, 1)
-        return out.append_column("ids", _lists(ids, np.array([0, len(ids)])))
+    """Rows come sorted by document and part; a task holds the parts of one document at a time."""
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, expand = Encoder(file_text.value), zstandard.ZstdDecompressor().decompress
+        parts: list[tuple[str, np.ndarray]] = []
+        row, number = None, None
+
+        def whole() -> pa.RecordBatch:
+            ids = concatenate(encoder, parts)
+            lists = _lists(ids, np.array([0, len(ids)]))
+            return pa.RecordBatch.from_arrays([*row.columns, lists], names=[*kept, "ids"])
+
+        for batch in batches:
+            said, made = batch.column("_text"), batch.column("_ids")
+            for i, of in enumerate(batch.column("_row").to_pylist()):
+                if parts and of != number:
+                    yield whole()
+                    parts.clear()
+                row, number = batch.select(kept).slice(i, 1), of
+                ids = np.frombuffer(expand(made[i].as_py()), np.int32)
+                parts.append((expand(said[i].as_py()).decode(), ids))
+        if parts:
+            yield whole()
+
+    return W.tidy(run)
 
 
 def encode(
@@ -250,7 +250,8 @@ def encode(
     parts = parts.repartition("_row", "_part").mapInArrow(
         _encode_parts(file_text, [*kept, "_row", "_part"]), T.StructType([*row, number, part, *packed])
     )
-    joined = parts.groupBy("_row").applyInArrow(_join_parts(file_text, kept), T.StructType([*row, ids]))
+    together = parts.repartition("_row").sortWithinPartitions("_row", "_part")
+    joined = together.mapInArrow(_join_parts(file_text, kept), T.StructType([*row, ids]))
     made = encoded.unionByName(joined)
     return made.select(*[F.col(c).alias(c[1:]) for c in kept], "ids")
 
@@ -261,7 +262,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         file_text = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(file_text.value)
+        encoder = Encoder(file_text.value)
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy()
             total = np.concatenate([[0], np.cumsum(sizes)])
@@ -275,4 +276,4 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 at = to
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(W.tidy(run), schema)

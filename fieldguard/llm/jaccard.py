@@ -157,7 +157,7 @@ def sets(classes, size: int, percent: int):
                 names=["id", "n", "one", "two", "prefix", "bits"],
             )
 
-    return run
+    return W.tidy(run)
 
 
 def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +191,7 @@ def check_pairs(size: int, percent: int):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    return run
+    return W.tidy(run)
 
 
 def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     cell = F.pmod(F.xxhash64("id"), F.lit(CELLS))
     cells = F.broadcast(settle(ids.select(cell.alias("cell")).distinct()))
     near = docs.withColumn("cell", cell).join(cells, "cell", "left_semi").select("id", "text")
-    packed = near.mapInArrow(press, "id long, packed binary")
+    packed = near.mapInArrow(W.tidy(press), "id long, packed binary")
     return settle(packed.join(ids, "id", "left_semi"))
 
 

@@ -425,7 +425,7 @@ def _restored_traits(model):
             traits = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value.view(np.int64)))
             yield pa.RecordBatch.from_arrays([traits, batch.column("toxic")], names=["traits", "toxic"])
 
-    return run
+    return W.tidy(run)
 
 
 def _places(known):
@@ -454,7 +454,7 @@ def _score(model, words):
                 [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_score"]
             )
 
-    return run
+    return W.tidy(run)
 
 
 @dataclass

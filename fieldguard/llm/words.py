@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import suppress
 from dataclasses import dataclass
 from functools import cache
@@ -188,10 +188,21 @@ def pieces(
             at = to
         del batch, offsets
         pa.default_memory_pool().release_unused()
-    gc.collect()
-    _trim()
+    give_back()
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's work that gives memory back once all it held is gone: idle workers stay for other stages."""
 
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
 
-def _trim() -> None:
+    return tidied
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):  # only glibc keeps freed memory, and only it has the call
         ctypes.CDLL(None).malloc_trim(0)
