@@ -46,7 +46,7 @@ SAME_PREFIX = -1
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 _SLICES = 16
-_PIECE = 4 << 20
+_PIECE = 1 << 20
 _SETS = "id long, n long, one long, two long, prefix array<long>, bits array<long>"
 
 

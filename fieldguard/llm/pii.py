@@ -35,7 +35,7 @@ from fieldguard.llm import words as W
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS, LONGEST, AROUND = 600, 24, 6
-_PIECE = 8 << 20
+_PIECE = 2 << 20
 Span = tuple[str, int, int]
 
 # ---- base patterns

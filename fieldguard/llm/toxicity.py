@@ -36,7 +36,7 @@ TRAIN_ROWS, THRESHOLD = 10_000, 0.3
 # Bytes of a word's beginnings that are features besides the word.
 STEMS = (4, 5, 6)
 MOST_TRAITS = 4000
-_PIECE = 2 << 20
+_PIECE = 1 << 19
 # The language model's letters: a to z, the edge of a word, any other letter.
 EDGE, OTHER, LETTERS = 26, 27, 28
 _CELLS, _SLICES = LETTERS**4, 16

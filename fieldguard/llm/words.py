@@ -179,14 +179,15 @@ def pieces(
     After the last one, memory that is free goes back to the system: workers serve many stages.
     """
     for batch in batches:
-        _, offsets = text_arrays(batch.column(text))
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         at = 0
         while at < batch.num_rows:
             to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
             to = min(batch.num_rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
-        del batch, offsets
+        del batch, sizes, offsets
         pa.default_memory_pool().release_unused()
     give_back()
 
