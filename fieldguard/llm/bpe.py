@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from fieldguard.llm import words as W
 
 LEAF = 16_384
-_PIECE = 1 << 20
+_PIECE = 2 << 20
 # Words kept between pieces of a task; beyond it the older half goes.
 _REMEMBERED = 200_000
 _LONG_WORD = 64
