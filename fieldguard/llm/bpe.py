@@ -2,7 +2,8 @@
 
 Words between ASCII white space are encoded apart: the vocabulary files this is for drop white space
 and never join over it (``Encoder`` refuses others). A task encodes each distinct word of a piece once
-with the tokenizers library and puts the texts together from there.
+with the tokenizers library and puts the texts together from there. Where the file lower-cases and cuts
+words into letters and signs (``by_kind``), common words are put together from the ids of these runs.
 
 A text of more than ``LEAF`` characters is halved until no part is longer, wherever the cuts fall; the
 parts are dealt to tasks as rows and encoded in parallel. Then halves are joined level by level: a
@@ -16,7 +17,9 @@ their ids, as in the library; repeated rows are encoded row by row; a null id is
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -33,10 +36,49 @@ from fieldguard.llm import words as W
 LEAF = 16_384
 _PIECE = 2 << 20
 # Words kept between pieces of a task; beyond it the older half goes.
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 _LONG_WORD = 64
 _TOKENS_AT_ONCE = 1 << 18
 _SPACE = re.compile(r"[\t-\r ]")
+# The settings under which words of the kinds below are cut into runs encoded each on its own.
+_NORMAL = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_CUT = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+# Letters that are one character in NFC and in lower case; signs without the apostrophe and "<".
+_LETTERS = r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F"
+_SIGNS = r"!-&(-/:;=-@[-`{-~"
+_KIND = re.compile(f"([{_SIGNS}]*)([{_LETTERS}]*)([{_SIGNS}]*)")
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte: itself where it prints, the next one from 256 on where not."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = byte_characters()
+
+
+def by_kind(file_text: str) -> bool:
+    """Whether words that match ``_KIND`` may be encoded run by run, in lower case."""
+    settings = json.loads(file_text)
+    normal, cut, model = settings["normalizer"] or {}, settings["pre_tokenizer"] or {}, settings["model"]
+    # A string of a special token must not lie inside such a word.
+    apart = not any(_KIND.fullmatch(x["content"]) for x in settings["added_tokens"])
+    settled = not (model.get("dropout") or model.get("continuing_subword_prefix"))
+    return normal.get("normalizers") == _NORMAL and cut.get("pretokenizers") == _CUT and settled and apart
 
 
 class Encoder:
@@ -49,6 +91,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.by_kind, self.runs = by_kind(file_text), {"": b""}
         a, b = self.plain("ab"), self.plain("c")
         if self.plain(" ab\tc\n") != a + b or not a:
             raise ValueError("the vocabulary must split at white space and drop it")
@@ -72,14 +115,41 @@ class Encoder:
             out += [x[low > 0 :].tobytes() for low, x in enumerate(np.split(ids, cuts))]
         return out
 
+    def run(self, said: str) -> bytes:
+        """Ids of one run of letters or signs, by the library's model alone."""
+        if not said.isascii():
+            said = said.encode().decode("latin-1").translate(_BYTES)
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(said)]).tobytes()
+
+    def words(self, said: list[str]) -> list[bytes]:
+        """Ids of words that are not remembered; each run of letters or signs is encoded once."""
+        if not self.by_kind:
+            return self.distinct(said)
+        self.runs = recent(self.runs, 2 * _REMEMBERED)
+        runs, out, whole = self.runs, [], []
+        for word in said:
+            kind = _KIND.fullmatch(word)
+            if kind is None or len(word) > _LONG_WORD:
+                whole.append(word)
+                out.append(None)
+                continue
+            ids = b""
+            for x in kind.groups():
+                x = x.lower()
+                if x not in runs:
+                    runs[x] = self.run(x)
+                ids += runs[x]
+            out.append(ids)
+        others = iter(self.distinct(whole))
+        return [next(others) if x is None else x for x in out]
+
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text ends."""
-        found = W.find_words(*W.text_arrays(texts), W.SPACED)
+        found = W.find_words(*W.text_arrays(texts), W.SPACED, hashed=False)
         which, said = found.number, found.distinct.to_pylist()
-        if len(self.known) > _REMEMBERED:
-            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        self.known = recent(self.known, _REMEMBERED)
         missing = [x for x in said if x not in self.known]
-        made = dict(zip(missing, self.distinct([x.decode() for x in missing]), strict=True))
+        made = dict(zip(missing, self.words([x.decode() for x in missing]), strict=True))
         ids = [made[x] if x in made else self.known[x] for x in said]
         self.known.update((x, i) for x, i in made.items() if len(x) <= _LONG_WORD)
         flat = np.frombuffer(b"".join(ids), np.int32)
@@ -106,6 +176,11 @@ class Encoder:
         return pc.binary_join(lists, " ")
 
 
+def recent(known: dict, limit: int) -> dict:
+    """A memory without its older half where it holds more than ``limit``."""
+    return known if len(known) <= limit else dict(islice(known.items(), len(known) // 2, None))
+
+
 def join(encoder: Encoder, left: tuple[str, np.ndarray], right: tuple[str, np.ndarray], width: int = 64):
     """The encoding of two neighbouring parts from theirs: (text, ids)."""
     (a, ids_a), (b, ids_b) = left, right

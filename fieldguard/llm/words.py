@@ -88,11 +88,11 @@ class Words:
 
 
 def find_words(
-    data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold: np.ndarray = SAME
+    data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold: np.ndarray = SAME, hashed: bool = True
 ) -> Words:
     """Words are maximal runs of bytes in ``is_word`` inside one text; ``fold`` maps bytes first.
 
-    ``offsets`` (one more than texts) must start at 0.
+    ``offsets`` (one more than texts) must start at 0. Without ``hashed`` there are no hashes.
     """
     data = data[: offsets[-1]]
     if fold is not SAME:
@@ -113,8 +113,11 @@ def find_words(
     said = pa.py_buffer(np.ascontiguousarray(data[inside]))
     coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(places), said]).dictionary_encode()
     distinct, number = coded.dictionary, coded.indices.to_numpy()
-    known = np.fromiter(map(content_hash, distinct.to_pylist()), np.uint64, len(distinct))
-    return Words(data, start, end, doc, counts, known[number], distinct, number)
+    known = np.empty(0, np.uint64)
+    if hashed:
+        known = np.fromiter(map(content_hash, distinct.to_pylist()), np.uint64, len(distinct))
+        known = known[number]
+    return Words(data, start, end, doc, counts, known, distinct, number)
 
 
 def content_hash(said: bytes) -> int:
