@@ -25,6 +25,8 @@ from fieldguard.sources.bindings import table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Near copies of the stage: words of a shingle, and the Jaccard similarity that links. The op5 query has its own.
 SHINGLE, PERCENT = 5, 80
+# Texts of one Arrow batch between the JVM and Python, in bytes: every task holds some on both sides.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 # The trained models have no SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
@@ -74,12 +76,20 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is a table in the shared folder."""
+    """Apply the stages to ``documents``; each result is a table in the shared folder.
+
+    While they run, Arrow batches are small; the session's own setting comes back afterwards.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid4().hex}"
-    for name, stage in STAGES:
-        path = f"{folder}/{hashlib.md5(name.encode()).hexdigest()[:8]}"
-        made = stage(spark, docs, sf_dir)
-        made.write.mode("errorifexists").parquet(path)
-        docs = spark.read.schema(made.schema).parquet(path)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        for name, stage in STAGES:
+            path = f"{folder}/{hashlib.md5(name.encode()).hexdigest()[:8]}"
+            made = stage(spark, docs, sf_dir)
+            made.write.mode("errorifexists").parquet(path)
+            docs = spark.read.schema(made.schema).parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
