@@ -15,6 +15,7 @@ from fieldguard.plans import oracle as sql
 from fieldguard.plans.learning import PART_FIELDS, order_values, part_fields
 from fieldguard.session import settle, shared_dir
 from fieldguard.sources import bindings as b
+from fieldguard.sources import landing
 from fieldguard.sources import reports as src
 
 # --- sources -------------------------------------------------------------------------------------
@@ -92,6 +93,34 @@ S4_SQL = f"""WITH {sql.EP} SELECT model, count(*) AS n FROM ep
 WHERE taskid IN (SELECT 'c' || c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1"""
 
 
+def _landed(spark, d):
+    return landing.land_by_task(b.order_reports(spark, d), f"orders_{uuid4().hex}")
+
+
+def s4_landed(spark, d):
+    """Tasks of customers in debt, met in the buckets of landed reports; every document is looked at."""
+    listed = b.table(spark, d, "customer").filter("c_acctbal < 0")
+    tasks = src.clean_tasks(listed.select(F.concat(F.lit("c"), "c_custkey").alias("taskid")))
+    kept = landing.restrict_tasks(_landed(spark, d), tasks, max_rows=0)
+    same = F.get_json_object("raw", "$.episodeId") == F.col("episode_id")
+    return kept.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("whole"))
+
+
+S4_LANDED_SQL = f"""WITH {sql.EP} SELECT model, count(*) AS n, count(*) AS whole FROM ep
+WHERE taskid IN (SELECT 'c' || c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1"""
+
+
+def d7_landed(spark, d):
+    """One landed report per task, fetched from its bucket."""
+    picked = landing.sample_reports(_landed(spark, d), max_rows=0)
+    return picked.select("model", "taskid", "path", F.get_json_object("raw", "$.episodeId").alias("episode"))
+
+
+D7_LANDED_SQL = f"""WITH {sql.EP}, p AS (SELECT model, taskid, episode_id AS episode,
+  model || '/' || taskid || '/' || episode_id || '/' || episode_id || '_collect.json' AS path FROM ep)
+SELECT model, taskid, path, episode FROM p QUALIFY row_number() OVER (PARTITION BY model, taskid ORDER BY path) = 1"""
+
+
 def s5_union_sources(spark, d):
     scans = {
         "shop": b.order_episodes(spark, d).select("model", "taskid", "episode_id"),
@@ -170,6 +199,8 @@ QUERIES = {
     "s2_path_keys": s2_path_keys,
     "s3_detect_model": s3_detect_model,
     "s4_restrict_tasks": s4_restrict_tasks,
+    "s4_landed": s4_landed,
+    "d7_landed": d7_landed,
     "s5_union_sources": s5_union_sources,
     "s6_conflicts": s6_conflicts,
     "s7_tag_area": s7_tag_area,
@@ -185,6 +216,8 @@ SQL = {
  CAST(customers AS VARCHAR) AS customers FROM ({_FIGURES})""",
     "s3_detect_model": S3_SQL,
     "s4_restrict_tasks": S4_SQL,
+    "s4_landed": S4_LANDED_SQL,
+    "d7_landed": D7_LANDED_SQL,
     "s5_union_sources": S5_SQL,
     "s6_conflicts": S6_SQL,
     "s7_tag_area": f"{_TAGGED} SELECT model, coalesce(area, 'N/A') AS area, count(*) AS n FROM t GROUP BY 1, 2",
