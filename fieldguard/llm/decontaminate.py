@@ -31,7 +31,7 @@ from fieldguard.llm import words as W
 
 WINDOW, SHINGLE = 10, 3
 PART_BYTES = 8 << 20
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 @dataclass
