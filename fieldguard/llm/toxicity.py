@@ -21,6 +21,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +149,13 @@ def _letter(c: str) -> int:
     return OTHER if c.isalpha() else EDGE
 
 
+@lru_cache(maxsize=1 << 12)
+def _choices(c: str, again: bool, repeat: float) -> tuple[tuple[str, float, int], ...]:
+    """The options of a character that follows its like or not: text, cost and letter (-1: dropped)."""
+    options = _options(c + c, 1, repeat) if again else _options(c, 0, repeat)
+    return tuple((x, cost, _letter(x) if x else -1) for x, cost in options)
+
+
 def decode(said: str, model: list[float], repeat: float = REPEAT) -> str:
     """The likeliest text behind an obfuscated one: Viterbi over the lattice of its characters.
 
@@ -164,19 +172,28 @@ def decode(said: str, model: list[float], repeat: float = REPEAT) -> str:
 
 def _search(text: str, model: list[float], repeat: float, most: int | None, bound: float) -> tuple[str, float, bool]:
     """Reading, its cost, and whether no context was left out for ``most``."""
-    lattice = [[(x, cost, _letter(x) if x else -1) for x, cost in _options(text, i, repeat)] for i in range(len(text))]
-    # What the characters from each place on cost at least: their cheapest options.
-    ahead = [0.0] * (len(text) + 1)
-    for i in range(len(text) - 1, -1, -1):
-        ahead[i] = ahead[i + 1] + min(cost for _, cost, _ in lattice[i])
+    lattice = [_choices(c, c == before, repeat) for before, c in zip(["", *text], text)]
+    bounded = bound < math.inf
+    if bounded:
+        # What the characters from each place on cost at least: their cheapest options.
+        ahead = [0.0] * (len(text) + 1)
+        for i in range(len(text) - 1, -1, -1):
+            ahead[i] = ahead[i + 1] + min(cost for _, cost, _ in lattice[i])
     # By the last three letters, as one number: cost, and the letters so far as a chain.
     states: dict[int, tuple[float, tuple | None]] = {_START: (0.0, None)}
-    tail, whole = len(text.rstrip(SEPARATORS)), True
+    tail, whole, limit = len(text.rstrip(SEPARATORS)), True, math.inf
     for i, options in enumerate(lattice):
-        limit = bound - ahead[i + 1]
+        if bounded:
+            limit = bound - ahead[i + 1]
         if i >= tail:  # a path that costs more than dropping all the rest can't be the best
             rest = APART * (len(text) - i) + 1e-6
-            limit = min(limit, *[cost + rest + model[c * LETTERS + EDGE] for c, (cost, _) in states.items()])
+            limit = min(limit if bounded else math.inf, *[cost + rest + model[c * LETTERS + EDGE] for c, (cost, _) in states.items()])
+        elif len(states) == 1 and len(options) == 1 and not bounded:
+            # One way so far and one way on, as with most letters.
+            [(context, (cost, chain))], [(x, channel, code)] = states.items(), options
+            at = context * LETTERS + code
+            states = {at % _CONTEXTS: (cost + channel + model[at], (x, chain))}
+            continue
         after: dict[int, tuple[float, tuple | None]] = {}
         for context, (cost, chain) in states.items():
             row = context * LETTERS
@@ -208,7 +225,7 @@ SURE, MAYBE, SPELLED = 0, 1, 2
 
 def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and kind of the byte runs that may be obfuscated."""
-    found = W.find_words(data, offsets, W.SPACED)
+    found = W.find_words(data, offsets, W.SPACED, numbered=False)
     n = len(data)
     letter, sign, digit = _IS_LETTER[data], _IS_SIGN[data], _IS_DIGIT[data]
     lowered, apart = W.LOWER[data], _IS_SEPARATOR[data]
@@ -267,21 +284,34 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model.ravel().tolist()
         self.known: dict[tuple[bytes, int], bytes] = {}
+        self.decoded: dict[tuple[str, float], str] = {}
+
+    def decode(self, said: str, repeat: float = REPEAT) -> str:
+        """As ``decode``; short texts are decoded once, in whatever case and with whatever signs after them."""
+        text = said.lower()
+        if len(text) > 40:
+            return decode(text, self.model, repeat)
+        out = self.decoded.get((text, repeat))
+        if out is None:
+            if len(self.decoded) > 50_000:
+                self.decoded.clear()
+            out = self.decoded[text, repeat] = decode(text, self.model, repeat)
+        return out
 
     def readings(self, text: str, kind: int) -> list[str]:
         if kind == SPELLED:
             parts = re.split("( {3,})", text)
-            first = "".join([decode(x, self.model) if len(x.split()) >= 4 else x for x in parts])
-            return [first] if len(parts) == 1 and first != text else [first, decode(text, self.model)]
+            first = "".join([self.decode(x) if len(x.split()) >= 4 else x for x in parts])
+            return [first] if len(parts) == 1 and first != text else [first, self.decode(text)]
         core, whole = text.rstrip(CLOSERS), text.rstrip(PUNCTUATION)
-        out = [decode(core, self.model) + text[len(core) :]]
+        out = [self.decode(core) + text[len(core) :]]
         if kind == MAYBE:
             out.insert(0, text)
         if kind == MAYBE or len(whole) > len(core):
             # A sign at the end may be a letter, and what is there twice may be meant twice.
             if len(whole) > len(core):
-                out.append(decode(whole, self.model))
-            out.append(decode(whole, self.model, NOISE))
+                out.append(self.decode(whole))
+            out.append(self.decode(whole, NOISE))
         return out
 
     def one(self, said: bytes, kind: int) -> bytes:

@@ -88,11 +88,17 @@ class Words:
 
 
 def find_words(
-    data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold: np.ndarray = SAME, hashed: bool = True
+    data: np.ndarray,
+    offsets: np.ndarray,
+    is_word: np.ndarray,
+    fold: np.ndarray = SAME,
+    hashed: bool = True,
+    numbered: bool = True,
 ) -> Words:
     """Words are maximal runs of bytes in ``is_word`` inside one text; ``fold`` maps bytes first.
 
-    ``offsets`` (one more than texts) must start at 0. Without ``hashed`` there are no hashes.
+    ``offsets`` (one more than texts) must start at 0. Without ``hashed`` there are no hashes, without
+    ``numbered`` neither hashes nor numbers: places only.
     """
     data = data[: offsets[-1]]
     if fold is not SAME:
@@ -108,6 +114,8 @@ def find_words(
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     doc = np.searchsorted(offsets[1:], start, side="right")
     counts = np.bincount(doc, minlength=len(offsets) - 1)
+    if not numbered:
+        return Words(data, start, end, doc, counts, np.empty(0, np.uint64), pa.array([], pa.large_binary()), np.empty(0, np.int32))
     places = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
     # The words are what lies inside, one after the other.
     said = pa.py_buffer(np.ascontiguousarray(data[inside]))
