@@ -115,6 +115,15 @@ def select_cells(
     return parsed.select(*keep, F.inline_outer(rows)).filter("_row").drop("_row")
 
 
+def count_cells(values: DataFrame) -> DataFrame:
+    """(model, field, value, _count): how often each text stands in a field.
+
+    Learning and the audit of fields take such counts in place of the values themselves, so reports that are
+    used for both are read once. Counts of a task are added up before the shuffle.
+    """
+    return values.groupBy("model", "field", "value").agg(F.count(F.lit(1)).alias("_count"))
+
+
 def is_filled(value: Column) -> Column:
     """Neither missing, nor blank text, nor an empty container."""
     return F.coalesce(~F.trim(value).isin("", "[]", "{}"), F.lit(False))

@@ -109,12 +109,14 @@ def _counted(values: DataFrame, p: LearnParams) -> DataFrame:
         fold_model_case=p.fold_model_case,
     )
     cell = present(F.col("value"), p.na_tokens)
+    weight = ["_count"] if "_count" in values.columns else []
     typed = values.select(
         *GROUP,
         forced.alias("_forced"),
         cell.alias("_cell"),
         parse_number(cell).alias("_number"),
         bool_number(cell).alias("_bool"),
+        *weight,
     )
     kind = (
         F.when(F.col("_forced"), "forced")
@@ -125,7 +127,7 @@ def _counted(values: DataFrame, p: LearnParams) -> DataFrame:
     )
     x = F.when(~F.col("_forced"), F.coalesce("_number", "_bool"))
     return order_stats.count_values(
-        typed.select(*GROUP, kind.alias("kind"), x.alias("x")), [*GROUP, "kind"], "x"
+        typed.select(*GROUP, kind.alias("kind"), x.alias("x"), *weight), [*GROUP, "kind"], "x"
     )
 
 
@@ -241,7 +243,10 @@ def refine(ranges: DataFrame, params: LearnParams | None = None) -> DataFrame:
 
 
 def learn_ranges(values: DataFrame, params: LearnParams | None = None) -> DataFrame:
-    """model, variant, field, lo, hi, is_non_numeric, is_bool for every (model, field)."""
+    """model, variant, field, lo, hi, is_non_numeric, is_bool for every (model, field).
+
+    ``values`` may be counted ones (``extract.count_cells``).
+    """
     ranges = refine(initial_ranges(values, params), params)
     return ranges.select(
         "model",

@@ -125,8 +125,9 @@ def first_rows(
 
 
 def count_values(values: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
-    """(keys, x, _count): how often each value occurs."""
-    return values.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_count"))
+    """(keys, x, _count): how often each value occurs. Rows with a ``_count`` of their own stand for so many."""
+    number = F.sum("_count") if "_count" in values.columns else F.count(F.lit(1))
+    return values.groupBy(*keys, x).agg(number.alias("_count"))
 
 
 def _rank_parts(total: Column, q: float) -> tuple[Column, Column]:

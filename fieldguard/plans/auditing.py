@@ -9,7 +9,7 @@ from fieldguard.operators import audit, learn
 from fieldguard.operators.audit import AuditParams
 from fieldguard.operators.learn import LearnParams, TextRule
 from fieldguard.plans import oracle as sql
-from fieldguard.plans.learning import document_values, event_values, order_values
+from fieldguard.plans.learning import document_values, event_values, order_cells
 from fieldguard.sources import bindings as b
 
 # Without widening, the learned ranges leave real failures in skewed values.
@@ -84,7 +84,7 @@ def t1_field_audit(spark, d):
 
 def t1_learn_and_audit(spark, d):
     """The whole way: order reports, values, learned ranges, audit of the same reports."""
-    values = order_values(spark, d)
+    values = order_cells(spark, d)
     p = LearnParams(expand_pct=0.1, non_numeric_rules=[TextRule(["metadata_raw"])])
     episodes = b.order_episodes(spark, d).select("model", "episode_id")
     return _rate(audit.audit_fields(values, learn.learn_ranges(values, p), episodes))

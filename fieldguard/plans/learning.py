@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from fieldguard.functions.intervals import BoundRule
 from fieldguard.operators import declare, learn
-from fieldguard.operators.extract import extract_values
+from fieldguard.operators.extract import count_cells, extract_values
 from fieldguard.operators.learn import LearnParams, TextRule
 from fieldguard.plans import oracle as sql
+from fieldguard.session import settle
 from fieldguard.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,11 @@ def order_values(spark: SparkSession, d: str, fields=b.ORDER_FIELDS) -> DataFram
     return extract_values(b.order_reports(spark, d), fields)
 
 
+def order_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The counted values of the order reports, written once for all that is done with them."""
+    return settle(count_cells(order_values(spark, d)))
+
+
 def event_values(spark: SparkSession, d: str) -> DataFrame:
     return extract_values(b.event_reports(spark, d), b.EVENT_FIELDS)
 

@@ -35,6 +35,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def order_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys and attributes of the orders as episodes, without documents."""
+    return _orders(spark, sf_dir).drop("_key")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The episodes with their order's number as ``_key``: numbers are cheaper to move and compare than texts."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -51,6 +56,7 @@ def order_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("sn"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("collected_at"),
             F.col("o_orderstatus").alias("status"),
+            F.col("o_orderkey").alias("_key"),
         )
     )
 
@@ -62,7 +68,7 @@ def order_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     metrics = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").cast("string").alias("_order"))
+        .groupBy(F.col("l_orderkey").alias("_order"))
         .agg(
             *[largest("l_quantity", f).alias(f"fps_{f}") for f in FLAGS],
             *[largest("l_discount", f).alias(f"loss_{f}") for f in FLAGS],
@@ -84,8 +90,8 @@ def order_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             ]
         )
     )
-    episodes = spread(order_episodes(spark, sf_dir), "episode_id")
-    joined = episodes.join(metrics, F.col("episode_id") == F.col("_order"), "left")
+    episodes = spread(_orders(spark, sf_dir), "_key")
+    joined = episodes.join(metrics, F.col("_key") == F.col("_order"), "left")
     metadata = F.to_json(
         F.struct(
             F.lit("metadata_raw").alias("ruleCode"),
