@@ -16,7 +16,7 @@ from fieldguard.plans.learning import (
     PART_FIELDS,
     document_values,
     event_values,
-    order_values,
+    order_cells,
     part_fields,
 )
 from fieldguard.session import shared_dir
@@ -141,7 +141,7 @@ def order_field_list(values: DataFrame) -> DataFrame:
 
 
 def w6_field_type(spark, d):
-    values = order_values(spark, d)
+    values = order_cells(spark, d)
     ranges = learn.learn_ranges(values, LearnParams(expand_pct=0.1)).filter(
         ~F.col("field").contains("<N>")
     )
@@ -216,7 +216,7 @@ UNION ALL SELECT CAST(s_nationkey AS VARCHAR), CAST(s_suppkey AS VARCHAR), '.<tw
 
 
 def w8_thresholds(spark, d):
-    values = order_values(spark, d)
+    values = order_cells(spark, d)
     ranges = learn.learn_ranges(values, LearnParams(expand_pct=0.1))
     return warehouse.thresholds(ranges, "base")
 
