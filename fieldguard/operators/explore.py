@@ -181,6 +181,28 @@ def _sort_keys(sort_by: str, group_by: str) -> list[str]:
     return keys
 
 
+def with_time(rows: DataFrame) -> DataFrame:
+    """Add ``_time``, by which axes sort instead of by the text of the time."""
+    return rows.withColumn("_time", labels.utc_time(F.col("collected_at")))
+
+
+def _timed(rows: DataFrame, sort_by: str, group_by: str) -> tuple[DataFrame, list[str]]:
+    """The rows with ``_time`` (as it is, if they have it), and the columns that order an axis."""
+    timed = rows if "_time" in rows.columns else with_time(rows)
+    order = ["_time" if k == "collected_at" else k for k in _sort_keys(sort_by, group_by)]
+    return timed, [*order, "episode_id"]
+
+
+def model_axis(
+    rows: DataFrame, sort_by: str = "sn", group_by: str = "sn", *, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """(model, episode_id, episode_index): place of every episode over all fields of its model, in chunks."""
+    timed, order = _timed(rows, sort_by, group_by)
+    axis = timed.select("model", *order).distinct()
+    axis = row_numbers(axis, ["model"], order, "episode_index", chunk_rows=chunk_rows)
+    return axis.select("model", "episode_id", "episode_index")
+
+
 def episode_index(
     rows: DataFrame,
     sort_by: str = "sn",
@@ -188,24 +210,21 @@ def episode_index(
     *,
     per_field: bool = True,
     chunk_rows: int = CHUNK_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """1-based place of every episode on the x axis, per field or over all fields of a model.
 
     Ties are broken by episode id. Times sort as times, unreadable ones last. The axis of a whole
-    model is numbered in chunks.
+    model is numbered in chunks. ``settled`` rows (with ``_time``) are not written again.
     """
-    timed = rows.withColumn("_time", labels.utc_time(F.col("collected_at")))
-    order = ["_time" if k == "collected_at" else k for k in _sort_keys(sort_by, group_by)]
-    order.append("episode_id")
     if per_field:
+        timed, order = _timed(rows, sort_by, group_by)
         out = row_numbers(
-            timed, ["model", "field_id"], order, "episode_index", chunk_rows=chunk_rows
+            timed, ["model", "field_id"], order, "episode_index", chunk_rows=chunk_rows, settled=settled
         )
         return out.drop("_time")
-    axis = timed.select("model", *order).distinct()
-    axis = row_numbers(axis, ["model"], order, "episode_index", chunk_rows=chunk_rows)
-    placed = axis.select("model", "episode_id", "episode_index")
-    return timed.drop("_time").join(placed, ["model", "episode_id"], "left")
+    placed = model_axis(rows, sort_by, group_by, chunk_rows=chunk_rows)
+    return rows.join(placed, ["model", "episode_id"], "left")
 
 
 def with_group(rows: DataFrame, group_by: str = "sn", name: str = "group_key") -> DataFrame:

@@ -92,12 +92,14 @@ def row_numbers(
     *,
     chunk_rows: int = CHUNK_ROWS,
     total: str | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """1-based position of every row in its group; same result as ``row_number``.
 
-    ``df`` is settled first. ``total`` names a further column for the size of the group.
+    ``df`` is settled first, unless it is a settled table already. ``total`` names a further column for the size of the group.
     """
-    ranked = with_running_total(settle(df), keys, order, chunk_rows=chunk_rows)
+    df = df if settled else settle(df)
+    ranked = with_running_total(df, keys, order, chunk_rows=chunk_rows)
     ranked = ranked.withColumn(name, (F.col("_before") + 1).cast("bigint")).drop("_before")
     return ranked.withColumnRenamed("_total", total) if total else ranked.drop("_total")
 

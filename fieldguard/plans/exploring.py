@@ -19,7 +19,7 @@ from fieldguard.plans.learning import (
     order_cells,
     part_fields,
 )
-from fieldguard.session import shared_dir
+from fieldguard.session import settle, shared_dir
 from fieldguard.sources import bindings as b
 
 AS_OF = date(2024, 1, 30)
@@ -158,11 +158,11 @@ SELECT model, row_number() OVER (PARTITION BY model ORDER BY field) AS field_id,
 
 def event_star(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(episodes, fields, fact) of the events."""
-    reports = b.event_reports(spark, d)
-    values = event_values(spark, d)
+    # Fields and fact read the values once each, and queries the fields more often.
+    values = settle(event_values(spark, d))
     fields = warehouse.field_dim(values.select("model", "field").distinct())
-    fields = fields.withColumn("type", F.lit("numeric"))
-    return reports.drop("raw"), fields, warehouse.field_value_fact(values, fields)
+    fields = settle(fields.withColumn("type", F.lit("numeric")))
+    return b.event_episodes(spark, d), fields, warehouse.field_value_fact(values, fields)
 
 
 V_FACT = f"""{sql.V_EP}, {sql.V_CELLS},
@@ -172,10 +172,11 @@ fact AS (SELECT model, episode_id, CAST(CASE field WHEN '.<props>.<k>' THEN 1 EL
 
 def document_star(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(episodes, fields, fact) of the documents; quality counts as non-numeric."""
-    values = document_values(spark, d)
+    values = settle(document_values(spark, d))
     fields = warehouse.field_dim(values.select("model", "field").distinct()).withColumn(
         "type", F.when(F.col("field").contains("quality"), "non_numeric").otherwise("numeric")
     )
+    fields = settle(fields)
     episodes = b.document_reports(spark, d).drop("raw").select(
         "*",
         F.concat(F.lit("s"), "area").alias("sn"),
@@ -544,11 +545,12 @@ def x11_index(spark, d):
     """Places on the axis: per field by sn and task, and over all fields of a model by time."""
     episodes, fields, fact = event_star(spark, d)
     rows = explore.series(explore.plot_values(explore.field_data(fact, episodes), fields))
-    single = explore.episode_index(rows, "sn", "taskid")
-    multi = explore.episode_index(rows, "time", "week", per_field=False)
-    columns = ["model", "episode_id", "field_id"]
-    return single.select(*columns, "episode_index").join(
-        multi.select(*columns, F.col("episode_index").alias("common_index")), columns
+    rows = explore.with_time(rows).select("model", "episode_id", "field_id", "sn", "taskid", "_time")
+    rows = settle(rows)
+    single = explore.episode_index(rows, "sn", "taskid", settled=True)
+    common = explore.model_axis(rows, "time", "week").withColumnRenamed("episode_index", "common_index")
+    return single.select("model", "episode_id", "field_id", "episode_index").join(
+        common, ["model", "episode_id"]
     )
 
 

@@ -135,18 +135,27 @@ def with_paths(episodes: DataFrame) -> DataFrame:
     )
 
 
+def event_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and attributes of the events as episodes, without documents (and so not spread)."""
+    return _event_episodes(table(spark, sf_dir, "events"))
+
+
 def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat(
         F.lit('{"value":'), F.col("value"), F.lit(',"props":'), F.col("props"), F.lit("}")
     )
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return _event_episodes(spread(table(spark, sf_dir, "events"), "event_id"), raw.alias("raw"))
+
+
+def _event_episodes(events: DataFrame, *more: Column) -> DataFrame:
+    return events.select(
         F.col("event_type").alias("model"),
         F.col("user_id").cast("string").alias("taskid"),
         F.col("event_id").cast("string").alias("episode_id"),
         F.lit("stream").alias("area"),
         F.concat(F.lit("u"), F.col("user_id")).alias("sn"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("collected_at"),
-        raw.alias("raw"),
+        *more,
     )
 
 

@@ -31,3 +31,19 @@ def test_counted_cells_learn_and_audit_alike(spark):
         p = audit.AuditParams(**mode)
         want = rows(audit.audit_fields(values, ranges, episodes, p))
         assert rows(audit.audit_fields(counted, ranges, episodes, p)) == want
+
+
+def test_event_star_parses_reports_once(spark):
+    _, fields, fact = exploring.event_star(spark, DIR)
+    assert "from_json" not in _plan(fact) and "from_json" not in _plan(fields)
+
+
+def test_axis_of_a_model(spark):
+    said = [("m", f"e{i % 5}", i % 2, "s", "t", f"2024-01-0{1 + i % 3}") for i in range(10)]
+    drawn = spark.createDataFrame(said, "model string, episode_id string, field_id int, sn string, taskid string, collected_at string")
+    whole = explore.episode_index(drawn, "time", "week", per_field=False)
+    want = rows(whole.select("model", "episode_id", "episode_index").distinct())
+    for chunk in (1 << 20, 2):
+        assert rows(explore.model_axis(drawn, "time", "week", chunk_rows=chunk).distinct()) == want
+    timed = explore.with_time(drawn).drop("collected_at")
+    assert rows(explore.episode_index(timed, settled=True)) == rows(explore.episode_index(drawn).drop("collected_at"))
