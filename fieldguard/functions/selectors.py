@@ -193,12 +193,20 @@ def _text_step(text: str, step: Step, match: str) -> str:
     """One step within a JSON text; arrays may mix objects and other values."""
     if step.kind == "key":
         return _one_key(text, step.key)
-    items = f"from_json({text}, 'array<string>')"
     if step.kind == "item":
+        items = f"from_json({text}, 'array<string>')"
         return f"get({items}, {step.index})" if step.index >= 0 else "cast(null as string)"
-    typed = _is_typed(step, match)
-    found = _one_key("e", step.key, "variant" if typed else "string")
-    return f"get(filter({items}, e -> {_equals(found, step.value, typed)}), 0)"
+    return _first_match(_members(text, step, match), step, match)
+
+
+def _members(text: str, step: Step, match: str) -> str:
+    """The members of an array held as JSON text, each with its discriminator: parsed once, however often compared."""
+    found = _one_key("e", step.key, "variant" if _is_typed(step, match) else "string")
+    return f"transform(from_json({text}, 'array<string>'), e -> struct(e as item, {found} as found))"
+
+
+def _first_match(members: str, step: Step, match: str) -> str:
+    return f"get(filter({members}, m -> {_equals('m.found', step.value, _is_typed(step, match))}), 0).item"
 
 
 def cell_text(value: Column) -> Column:
@@ -269,6 +277,15 @@ def parse_reports(
     made = 0
     while level:
         lookups: list[str] = []
+        # Array members looked at by several selectors of a level, by their expression.
+        shared: dict[str, str] = {}
+
+        def text_step(text: str, step: Step, shared: dict[str, str] = shared) -> str:
+            if step.kind != "match":
+                return _text_step(text, step, match)
+            name = shared.setdefault(_members(text, step, match), f"_me{made}_{len(shared)}")
+            return _first_match(name, step, match)
+
         following: list[_Spot] = []
         stack = list(level)
         while stack:
@@ -287,7 +304,7 @@ def parse_reports(
                 if here.typed is None or here.shape.is_text():
                     # Held as text from here on.
                     whole = f"coalesce({here.typed}, {here.text})" if here.typed else here.text
-                    below = _Spot(None, _text_step(whole, step, match), _Shape(), rest)
+                    below = _Spot(None, text_step(whole, step), _Shape(), rest)
                 elif step.kind == "key":
                     stack.append(
                         _Spot(
@@ -301,7 +318,7 @@ def parse_reports(
                 else:
                     below = _Spot(
                         _typed_lookup(here, step, match),
-                        _text_step(here.text, step, match),
+                        text_step(here.text, step),
                         here.shape.element,
                         rest,
                     )
@@ -315,6 +332,9 @@ def parse_reports(
                 lookups.append(f"{below.text} as _tx{made}")
                 below.text = f"_tx{made}"
                 following.append(below)
+        if shared:
+            members = [f"{expression} as {name}" for expression, name in shared.items()]
+            df = df.selectExpr(*[_name(c) for c in kept], *members)
         if lookups:
             df = df.selectExpr(*[_name(c) for c in kept], *lookups)
             kept += [x.rsplit(" as ", 1)[1] for x in lookups]

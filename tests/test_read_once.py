@@ -47,3 +47,14 @@ def test_axis_of_a_model(spark):
         assert rows(explore.model_axis(drawn, "time", "week", chunk_rows=chunk).distinct()) == want
     timed = explore.with_time(drawn).drop("collected_at")
     assert rows(explore.episode_index(timed, settled=True)) == rows(explore.episode_index(drawn).drop("collected_at"))
+
+
+def test_discriminators_are_parsed_once(spark):
+    step = sel.parse(".[t=50]")[0]
+    assert sel._text_step("_t", step, "typed").count("from_json") == 2
+    raws = ['{"items":[7,{"t":50,"v":"n"},{"t":"50","v":"s"},null,{"v":1}]}', '{"items":[{"t":50.0,"v":[1]}]}', "{}", "no"]
+    df = spark.createDataFrame(list(enumerate(raws)), "episode_id int, raw string")
+    fields = [".<items>.[t=50].<v>", ".<items>.[<t>=<50>].<v>", ".<items>.[t=51].<v>", ".<items>.(1).<t>"]
+    got = sel.parse_reports(df, fields, keep=["episode_id"])
+    want = [(0, ["n", "s", None, "50"]), (1, ["[1]", None, None, None]), (2, [None] * 4), (3, None)]
+    assert sorted(tuple(r) for r in got.collect()) == want
