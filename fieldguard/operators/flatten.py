@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,6 +29,17 @@ def _quote(value: object) -> str:
     return text.replace("\\", "\\\\").replace(">", "\\>")
 
 
+# Reports of a collection share most of their selectors.
+@lru_cache(maxsize=1 << 14)
+def _below(path: str, key: str) -> str:
+    return f"{path}.<{_quote(key)}>"
+
+
+@lru_cache(maxsize=1 << 14)
+def _member(path: str, key: str, value: object) -> str:
+    return f"{path}.[<{_quote(key)}>=<{_quote(value)}>]"
+
+
 def leaves(document: object) -> Iterator[tuple[str, str | None]]:
     """(selector, text) of every leaf, in document order; a selector met again is skipped.
 
@@ -38,13 +51,15 @@ def leaves(document: object) -> Iterator[tuple[str, str | None]]:
     while todo:
         path, node = todo.pop()
         if isinstance(node, dict):
-            children = [(f"{path}.<{_quote(k)}>", v) for k, v in node.items()]
+            children = [(_below(path, k), v) for k, v in node.items()]
         elif isinstance(node, list) and any(isinstance(item, dict) for item in node):
             children = []
             for item in node:
                 if isinstance(item, dict) and item:
                     key, value = next(iter(item.items()))
-                    children.append((f"{path}.[<{_quote(key)}>=<{_quote(value)}>]", item))
+                    # Only texts are looked up: 1 equals True in Python, but not in JSON.
+                    member = _member if isinstance(value, str) else _member.__wrapped__
+                    children.append((member(path, key, value), item))
         else:
             if path and path not in seen:
                 seen.add(path)
@@ -113,6 +128,48 @@ def flatten_any(
     return narrow.mapInArrow(partial(_flatten_batches, keys=list(keys), schema=arrow), schema)
 
 
+def _count_batches(
+    batches: Iterator[pa.RecordBatch], keys: list[str], schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    counts: dict[tuple, int] = {}
+
+    def counted() -> pa.RecordBatch:
+        columns = [*zip(*counts, strict=True)] or [()] * (len(schema) - 1)
+        arrays = [pa.array(c, f.type) for c, f in zip([*columns, counts.values()], schema, strict=True)]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    for batch in batches:
+        names = zip(*[batch.column(k).to_pylist() for k in keys], strict=True) if keys else repeat(())
+        for raw, name in zip(batch.column("raw").to_pylist(), names):
+            try:
+                document = json.loads(raw)
+            except (TypeError, ValueError, RecursionError):
+                continue
+            for leaf in leaves(document):
+                row = (*name, *leaf)
+                counts[row] = counts.get(row, 0) + 1
+            if len(counts) >= BATCH_LEAVES:
+                yield counted()
+    yield counted()
+
+
+def count_leaves(reports: DataFrame, keys: tuple[str, ...] = ("model",)) -> DataFrame:
+    """(keys, field, value, n): how often each leaf of ``flatten_any`` occurs.
+
+    Tasks count what they walk, at most ``BATCH_LEAVES`` different leaves at a time; only counts leave Python.
+    """
+    narrow = reports.select(*keys, "raw")
+    schema = T.StructType([reports.schema[k] for k in keys])
+    schema = schema.add("field", T.StringType()).add("value", T.StringType()).add("n", T.LongType())
+    arrow = pa.schema(
+        [(k, _arrow_type(reports.schema[k].dataType)) for k in keys]
+        + [("field", pa.string()), ("value", pa.string()), ("n", pa.int64())]
+    )
+    parts = narrow.mapInArrow(partial(_count_batches, keys=list(keys), schema=arrow), schema)
+    return parts.groupBy(*keys, "field", "value").agg(F.sum("n").alias("n"))
+
+
 def _arrow_type(kind: T.DataType) -> pa.DataType:
     known = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
     return known[kind.simpleString()]

@@ -58,3 +58,12 @@ def test_discriminators_are_parsed_once(spark):
     got = sel.parse_reports(df, fields, keep=["episode_id"])
     want = [(0, ["n", "s", None, "50"]), (1, ["[1]", None, None, None]), (2, [None] * 4), (3, None)]
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_leaves_are_counted_where_they_are_walked(spark):
+    raws = ['{"a":[{"k":1,"v":null},{"k":true,"v":2},{"k":"1","v":3}],"b":"x"}', '{"b":"x","c":[]}', "no", None]
+    raws += [json.dumps({"id": str(i), "b": "x"}) for i in range(30)]
+    df = spark.createDataFrame([("m" if i % 2 else None, r) for i, r in enumerate(raws)], "model string, raw string")
+    want = flatten.flatten_any(df, ("model",)).groupBy("model", "field", "value").agg(F.count("*").alias("n"))
+    assert rows(flatten.count_leaves(df)) == rows(want)
+    assert rows(flatten.count_leaves(df.limit(0))) == []
