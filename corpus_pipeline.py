@@ -13,6 +13,7 @@ document to the near-duplicate stage: all of them stay or go. Tables may be empt
 from __future__ import annotations
 
 import hashlib
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,30 @@ from fieldguard.sources.bindings import table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Near copies of the stage: words of a shingle, and the Jaccard similarity that links. The op5 query has its own.
 SHINGLE, PERCENT = 5, 80
-# Texts of one Arrow batch between the JVM and Python, in bytes: every task holds some on both sides.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+# What tasks hold at once: bytes of an Arrow batch (on both sides of Python), rows a Parquet reader decodes
+# together (its buffers double, and texts are long), and bytes of a row group that a writer collects.
+LEAN = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "parquet.block.size": str(8 << 20),
+}
 # The trained models have no SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
+def lean(stage):
+    """The stage with the ``LEAN`` settings. Its plan runs after it returned, so they stay set in the session."""
+
+    @wraps(stage)
+    def leaner(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in LEAN.items():
+            spark.conf.set(name, value)
+        return stage(spark, docs, sf_dir)
+
+    return leaner
+
+
+@lean
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at or over the threshold go; the models learn from what is given."""
     scorer = toxicity.Scorer.fit(docs, table(spark, sf_dir, "labels"))
@@ -38,6 +57,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_score") < toxicity.THRESHOLD).select(*COLUMNS)
 
 
+@lean
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the least doc_id stays."""
     linked = jaccard.link_components(docs, SHINGLE, PERCENT)
@@ -46,6 +66,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
 
 
+@lean
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     found = decontaminate.find_leaks(
@@ -54,6 +75,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where("n_hit = 0").select(*COLUMNS)
 
 
+@lean
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span becomes its kind in brackets."""
     return pii.redact(pii.find(docs.select(*COLUMNS))).select(
@@ -61,6 +83,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
 
 
+@lean
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns without the text, and the ids of its tokens."""
     return bpe.encode(docs.select(*COLUMNS), queries.vocabulary(), keep=("lang", "source", "n_chars"))
@@ -78,12 +101,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is a table in the shared folder.
 
-    While they run, Arrow batches are small; the session's own setting comes back afterwards.
+    While they run the ``LEAN`` settings hold; the session's own come back afterwards.
     """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid4().hex}"
-    before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    before = {name: spark.conf.get(name, None) for name in LEAN}
     try:
         for name, stage in STAGES:
             path = f"{folder}/{hashlib.md5(name.encode()).hexdigest()[:8]}"
@@ -91,5 +113,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             made.write.mode("errorifexists").parquet(path)
             docs = spark.read.schema(made.schema).parquet(path)
     finally:
-        spark.conf.set(BATCH_SETTING, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     return docs

@@ -107,7 +107,7 @@ def count_shingles(index) -> callable:
                 }
             )
 
-    return run
+    return W.tidy(run)
 
 
 def rarest(index: Index, counts: dict[int, dict[int, int]]) -> dict:
@@ -142,7 +142,7 @@ def find_hits(index, prefix):
             names = batch.schema.names
             yield pa.RecordBatch.from_arrays([made.get(n, batch.column(n)) for n in names], names=names)
 
-    return run
+    return W.tidy(run)
 
 
 def _verify(found: W.Words, known: Index, prefix: dict, runs: list, items: list) -> None:
