@@ -1,8 +1,9 @@
 """N-gram Jaccard join as a grouped prefix join.
 
-A text's set holds the hashes of its distinct 3-word shingles. Sets are ordered by rarity (the counts of
-a shingle's words over all documents, kept in a table of fixed size, then the hash), and two sets of
-Jaccard similarity 0.9 or more must share a token of their prefixes. The join runs over groups:
+A text's set holds the hashes of its distinct 3-word shingles. Sets are ordered by rarity (shingles that
+stand out as common last, then the counts of a shingle's words over all documents, both kept in tables of
+fixed size, then the hash), and two sets of Jaccard similarity 0.9 or more must share a token of their
+prefixes. A passage that many texts hold is so in the prefixes of few. The join runs over groups:
 
 1. texts with equal sets become one class, classes with identical prefix and size one group;
 2. groups meet by prefix token. Each group is first paired with the hub it shares most tokens with,
@@ -13,10 +14,11 @@ Jaccard similarity 0.9 or more must share a token of their prefixes. The join ru
    that is left is verified, so no link that could join two components is missed, while copies that
    are connected already never meet again.
 
-Verification compares the real shingles of both texts. The bitmap holds the parity of the elements
-in each cell, so two bitmaps differ in at most as many cells as the sets have differences. It has
-512 cells, four times as many for sets of over 2,000 elements, and so on by fours; bitmaps of
-neighbouring widths are compared after the wider one is folded.
+Verification compares the real shingles of both texts. The bitmap holds the
+parity of the elements in each cell, so two bitmaps differ in at most as many cells as the sets have
+differences. It has 512 cells, four times as many for sets of over 2,000 elements (at 0.9; the more
+differences the similarity allows, the fewer elements), and so on by fours; bitmaps of neighbouring
+widths are compared after the wider one is folded.
 
 Defined results: null and empty texts have no shingles and no links; a null doc_id has no component
 and links with nothing; rows that share a doc_id are one document, linked by all its texts.
@@ -29,8 +31,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldguard.llm import words as W
@@ -38,42 +41,57 @@ from fieldguard.llm.graph import components
 from fieldguard.session import settle
 
 SHINGLE, PERCENT = 3, 90
-# Longs of the narrowest bitmap, and the elements it serves; both grow by fours together.
+# Longs of the narrowest bitmap, and the elements it serves at 90 percent; both grow by fours together.
 LONGS, SERVED = 8, 2000
 # The place that stands for a whole prefix where classes of one group meet.
 SAME_PREFIX = -1
-# Counts of words by hash; a fixed size, whatever the corpus.
+# Counts of words by hash, and of shingles; a fixed size, whatever the corpus.
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
-_SLICES = 16
+_SLICES = 32
+# A cell of shingles holds a common one if it is so many deviations over the mean, and so many counts.
+_DEVIATIONS, _LEAST = 6, 8
 _PIECE = 1 << 20
+# Bytes of texts' sets that a task of the verification keeps for further pairs.
+_KNOWN = 16 << 20
 _SETS = "id long, n long, one long, two long, prefix array<long>, bits array<long>"
 
 
+def _runs(found: W.Words, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Words of a shingle, first word and hash of every shingle. A text of fewer words is one shingle."""
+    for k in range(size, 0, -1):
+        if k == size:
+            places = np.flatnonzero(W.same_text(found, k))
+            if len(places):
+                yield k, places, W.rolling(found.hash, k)[places]
+        else:
+            places = found.first[np.flatnonzero(found.counts == k)]
+            if len(places):
+                yield k, places, W.rolling(found.hash[(places[:, None] + np.arange(k)).ravel()], k)[::k]
+
+
 def shingles(
-    texts: pa.Array, size: int, rare: np.ndarray | None = None
+    texts: pa.Array, size: int, rare: np.ndarray | None = None, common: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Document, hash and rank of every shingle, and the number of texts.
 
-    A text of fewer words is one shingle. The rank adds the rarity classes of a shingle's words: the
-    lower, the less likely the shingle is to occur.
+    The rank goes by the class of the shingle, then by the sum of its words' rarity classes: the lower,
+    the less likely the shingle is to occur.
     """
     found = W.find_words(*W.text_arrays(texts), W.SPACED, W.LOWER)
-    each = np.zeros(len(found.hash), np.uint16)
+    each = np.zeros(len(found.hash), np.uint32)
     if rare is not None:
-        each = rare[_cell(found.hash)].astype(np.uint16)
+        each = rare[_cell(found.hash)].astype(np.uint32)
     docs, hashes, ranks = [], [], []
-    for k in range(size, 0, -1):
-        if k == size:
-            places = np.flatnonzero(W.same_text(found, k))
-        else:
-            places = found.first[np.flatnonzero(found.counts == k)]
-        if len(places):
-            docs.append(found.doc[places])
-            hashes.append(W.rolling(found.hash, k)[places])
-            ranks.append(sum(each[places + i] for i in range(k)))
+    for k, places, own in _runs(found, size):
+        docs.append(found.doc[places])
+        hashes.append(own)
+        rank = sum(each[places + i] for i in range(k))
+        if common is not None:
+            rank += common[_cell(own)].astype(np.uint32) * np.uint32(256 * size)
+        ranks.append(rank)
     if not docs:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint16), len(found.counts)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint32), len(found.counts)
     return np.concatenate(docs), np.concatenate(hashes), np.concatenate(ranks), len(found.counts)
 
 
@@ -81,21 +99,28 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(CELLS, np.int64)
-    for batch in W.pieces(batches, limit=_PIECE):
-        found = W.find_words(*W.text_arrays(batch.column("text")), W.SPACED, W.LOWER)
-        counts += np.bincount(_cell(found.hash), minlength=CELLS)
-    if counts.any():
-        press = zstandard.ZstdCompressor(level=1).compress
-        parts = [press(x.tobytes()) for x in np.split(counts, _SLICES)]
-        yield pa.RecordBatch.from_pydict(
-            {"slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())}
-        )
+def tally(size: int):
+    """Task side: counts of the words by cell, then of the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, CELLS), np.int64)
+        for batch in W.pieces(batches, limit=_PIECE):
+            found = W.find_words(*W.text_arrays(batch.column("text")), W.SPACED, W.LOWER)
+            counts[0] += np.bincount(_cell(found.hash), minlength=CELLS)
+            for _, _, own in _runs(found, size):
+                counts[1] += np.bincount(_cell(own), minlength=CELLS)
+        if counts.any():
+            press = zstandard.ZstdCompressor(level=1).compress
+            parts = [press(x.tobytes()) for x in np.split(counts.ravel(), _SLICES)]
+            yield pa.RecordBatch.from_pydict(
+                {"slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())}
+            )
+
+    return run
 
 
 def _add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(CELLS // _SLICES, np.int64)
+    total = np.zeros(2 * CELLS // _SLICES, np.int64)
     expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for blob in batch.column("counts").to_pylist():
@@ -105,24 +130,32 @@ def _add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Itera
     )
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """Rarity class of each cell of words: the logarithm of its count over all documents (1 MB)."""
-    parts = docs.select("text").mapInArrow(tally, "slice int, counts binary")
+def rarity(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each cell of words, the logarithm of its count over all documents, and of each cell of
+    shingles, the logarithm of what it has over other cells and chance, mostly 0 (1 MB each)."""
+    parts = docs.select("text").mapInArrow(tally(size), "slice int, counts binary")
     summed = parts.groupBy("slice").applyInArrow(_add, "slice int, counts binary").collect()
-    counts = np.zeros(CELLS, np.int64)
+    counts = np.zeros(2 * CELLS, np.int64)
     for i, blob in summed:
-        at = CELLS // _SLICES * i
-        counts[at : at + CELLS // _SLICES] = np.frombuffer(blob, np.int64)
-    return (4 * np.log2(counts + 1)).astype(np.uint8)
+        at = 2 * CELLS // _SLICES * i
+        counts[at : at + 2 * CELLS // _SLICES] = np.frombuffer(blob, np.int64)
+    words, runs = counts[:CELLS], counts[CELLS:]
+    mean = runs.mean()
+    over = np.maximum(runs - (mean + _DEVIATIONS * np.sqrt(mean) + _LEAST), 0)
+    return (4 * np.log2(words + 1)).astype(np.uint8), (4 * np.log2(over + 1)).astype(np.uint8)
 
 
-def _bitmaps(doc: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> pa.ListArray:
+def served(percent: int) -> int:
+    """Elements the narrowest bitmap serves: as many differences are allowed as between SERVED at 90 percent."""
+    return SERVED * 10 * (100 + percent) // (190 * max(1, 100 - percent))
+
+
+def _bitmaps(doc: np.ndarray, hashes: np.ndarray, n: np.ndarray, serves: int = SERVED) -> pa.ListArray:
     """Parity of each text's elements by the low bits of their mixed hashes, as longs."""
     longs = np.full(len(n), LONGS, np.int64)
-    served = SERVED
-    while (n > served).any():
-        longs[n > served] *= 4
-        served *= 4
+    while (n > serves).any():
+        longs[n > serves] *= 4
+        serves *= 4
     ends = np.concatenate([[0], np.cumsum(longs)])
     cells = ends[doc] * 64 + (W.mix(hashes) & (longs[doc] * 64 - 1).astype(np.uint64)).astype(np.int64)
     odd = (np.bincount(cells, minlength=int(ends[-1]) * 64) & 1).astype(np.uint8)
@@ -133,9 +166,8 @@ def sets(classes, size: int, percent: int):
     """Task side: size, identity, prefix and bitmap of every text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = classes.value
         for batch in W.pieces(batches, limit=_PIECE):
-            doc, hashes, rank, count = shingles(batch.column("text"), size, rare)
+            doc, hashes, rank, count = shingles(batch.column("text"), size, *classes.value)
             order = np.lexsort((hashes, rank, doc))
             doc, hashes = doc[order], hashes[order]
             new = np.ones(len(doc), bool)
@@ -151,7 +183,7 @@ def sets(classes, size: int, percent: int):
             prefix = pa.ListArray.from_arrays(
                 pa.array(cuts, pa.int32()), pa.array(hashes[inside].view(np.int64))
             )
-            bits = _bitmaps(doc, hashes, n)
+            bits = _bitmaps(doc, hashes, n, served(percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n), pa.array(one), pa.array(two), prefix, bits],
                 names=["id", "n", "one", "two", "prefix", "bits"],
@@ -169,26 +201,44 @@ def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The rising hashes of every text's set."""
+    doc, hashes, _, count = shingles(pa.array(texts, pa.binary()).cast(pa.string()), size)
+    order = np.lexsort((hashes, doc))
+    doc, hashes = doc[order], hashes[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
+    ends = np.cumsum(np.bincount(doc[new], minlength=count))
+    return np.split(hashes[new], ends[:-1])
+
+
 def check_pairs(size: int, percent: int):
-    """Task side of verification: pairs whose texts' real sets are similar enough."""
+    """Task side of verification: pairs whose texts' real sets are similar enough.
+
+    The sets of a slice of pairs are found at once; those found stay until they take ``_KNOWN`` bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        last: tuple = (None, None)
-
-        def shingle_set(blob: bytes) -> np.ndarray:
-            return np.unique(shingles(pa.array([expand(blob).decode()], pa.string()), size)[1])
-
+        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            kept = []
-            columns = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
-            for i, (a, _, text_a, text_b) in enumerate(zip(*columns, strict=True)):
-                if last[0] != a or last[1] is not text_a:
-                    last, own = (a, text_a), shingle_set(text_a)
-                other = shingle_set(text_b)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(other) - both):
-                    kept.append(i)
+            kept, at = [], 0
+            columns = [batch.column(c) for c in ("text_a", "text_b")]
+            ends = np.cumsum(sum(pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in columns))
+            while at < batch.num_rows:
+                before = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, before + _PIECE // 2, side="right")))
+                one, two = (x.slice(at, to - at).to_pylist() for x in columns)
+                if sum(x.nbytes for x in known.values()) > _KNOWN:
+                    known = {}
+                new = [x for x in dict.fromkeys(one + two) if x not in known]
+                if new:
+                    known.update(zip(new, _sets([expand(x) for x in new], size), strict=True))
+                for i, own, other in zip(range(at, to), map(known.get, one), map(known.get, two), strict=True):
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    if 100 * both >= percent * (len(own) + len(other) - both):
+                        kept.append(i)
+                at = to
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     return W.tidy(run)
@@ -265,7 +315,7 @@ def link_components(
     """doc_id, n_shingles, component_id (least doc_id reachable), class_id (least with an equal set)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    classes = spark.sparkContext.broadcast(rarity(docs))
+    classes = spark.sparkContext.broadcast(rarity(docs, size))
     rows = settle(docs.mapInArrow(sets(classes, size, percent), _SETS))
     full = rows.where("id IS NOT NULL AND n > 0")
 
@@ -280,11 +330,10 @@ def link_components(
     postings = groups.select(
         F.col("x.id").alias("id"), F.col("n").cast("int").alias("n"), F.posexplode("x.prefix").alias("pos", "token")
     ).repartition("token")
-    shared = postings.groupBy("token").agg(
-        F.min(F.struct("id", F.col("n").alias("m"), F.col("pos").alias("at"))).alias("hub"),
-        F.count("*").alias("c"),
-    )
-    live = settle(postings.join(shared.where("c > 1").select("token", "hub"), "token"))
+    # Most tokens have one posting: they go by the counts, before anything is sorted.
+    shared = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    hub = F.min(F.struct("id", F.col("n").alias("m"), F.col("pos").alias("at"))).over(Window.partitionBy("token"))
+    live = settle(postings.join(shared.hint("shuffle_hash"), "token").withColumn("hub", hub))
 
     # One hub per group, one first class per group.
     sizes, needs = _similar(percent, F.col("n"), F.col("hub.m"))
